@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kuatia.llm import charforms, lines, nearcopies
+from kuatia.llm import charforms, lines, mix, nearcopies, split, tokens
 from kuatia.session import table
 
 
@@ -20,5 +20,31 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return nearcopies.found(table(spark, d, "event_context_articles"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p4_found, p6_found)}
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode_corpus(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, same): whether each text is what its ids decode to."""
+    documents = table(spark, d, "documents").select("doc_id", "text")
+    back = tokens.decode_corpus(tokens.encode_corpus(documents, "doc_id", "text"), "doc_id", "ids")
+    return documents.join(back.withColumnRenamed("text", "decoded"), "doc_id").selectExpr("doc_id", "coalesce(text, '') = decoded as same")
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    targets = table(spark, d, "mix_targets")
+    return mix.mix(mix.sized(table(spark, d, "documents"), targets), targets)
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    targets = table(spark, d, "mix_targets")
+    sizes = mix.sized(table(spark, d, "documents"), targets)
+    return mix.shares(sizes, targets, mix.mix(sizes, targets))
+
+
+def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return split.split_texts(table(spark, d, "documents"), "doc_id", "text", split.profiles_of(table(spark, d, "split_limits")))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p4_found, p6_found, p7_ids, p7_round_trip, p8_mix, p8_shares, p9_pieces)}
 SQL: dict[str, str] = {}
