@@ -1,4 +1,6 @@
 """All core queries and their SQL."""
 
-QUERIES: dict = {}
+from kuatia.plans import publication
+
+QUERIES: dict = {"p3_found": publication.p3_found}
 SQL: dict = {}
