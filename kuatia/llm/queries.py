@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kuatia.llm import charforms, lines, mix, nearcopies, split, tokens
+from kuatia.llm import charforms, lines, mix, nearcopies, neighbours, split, survivors, tokens
 from kuatia.session import table
 
 
@@ -12,10 +12,18 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return lines.found(table(spark, d, "event_context_articles"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.found(table(spark, d, "event_context_articles"), table(spark, d, "source_trust"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return charforms.found(table(spark, d, "event_context_articles"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return neighbours.found(table(spark, d, "article_embeddings"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return nearcopies.found(table(spark, d, "event_context_articles"))
 
@@ -46,5 +54,5 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split_texts(table(spark, d, "documents"), "doc_id", "text", split.profiles_of(table(spark, d, "split_limits")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p4_found, p6_found, p7_ids, p7_round_trip, p8_mix, p8_shares, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p4_found, p5_found, p6_found, p7_ids, p7_round_trip, p8_mix, p8_shares, p9_pieces)}
 SQL: dict[str, str] = {}
