@@ -66,8 +66,8 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _spelled(column: str) -> str:
-    """DuckDB expression: the text without invisible characters, odd spaces, wide and joined forms, composed."""
+def _spelled(column: str) -> tuple[str, str]:
+    """Two DuckDB expressions, the second over the first's result: without invisible characters and odd spaces; without wide and joined forms, composed."""
     wide_from, wide_to = _one_to_one()
     x = column
     for _ in range(2):  # neighbouring joiners share an emoji, so a second pass takes those left over
@@ -78,11 +78,21 @@ def _spelled(column: str) -> str:
     x = rf"regexp_replace({x}, '([0-9#*])\x{{FE0F}}\x{{20E3}}', '\1{_KEPT_SELECTOR}' || chr(8419), 'g')"
     x = f"regexp_replace({x}, '[{_INVISIBLE}]', '', 'g')"
     x = f"translate({x}, '{''.join(_KEPT.values())}{_KEPT_SELECTOR}', '{''.join(_KEPT)}' || chr(65039))"
+    # the costly steps run only on texts that have such characters
+    x = f"CASE WHEN NOT regexp_matches({column}, '[{_INVISIBLE}]') THEN {column} ELSE {x} END"
     x = f"regexp_replace({x}, '[{_SPACES}]', ' ', 'g')"
-    x = f"translate({x}, {_quoted(wide_from)}, {_quoted(wide_to)})"
+    joined = f"translate({column}, {_quoted(wide_from)}, {_quoted(wide_to)})"
     for ligature, letters in _joined():
-        x = f"replace({x}, '{ligature}', {_quoted(letters)})"
-    return f"nfc_normalize({x})"
+        joined = f"replace({joined}, '{ligature}', {_quoted(letters)})"
+    signs = "".join(ligature for ligature, _ in _joined())
+    return x, f"nfc_normalize(CASE WHEN regexp_matches({column}, '[{signs}{_ranges(wide_from)}]') THEN {joined} ELSE {column} END)"
+
+
+def _ranges(signs: str) -> str:
+    """The characters from the first to the last of each of the two blocks of wide and mathematical forms."""
+    low = [c for c in signs if ord(c) < 0x10000]
+    high = [c for c in signs if ord(c) >= 0x10000]
+    return f"{low[0]}-{low[-1]}{high[0]}-{high[-1]}"
 
 
 def _latin_words(column: str) -> str:
@@ -114,10 +124,11 @@ def clean_batch(con, batch: pa.RecordBatch | pa.Table, columns: list[str], flags
     con.register("kuatia_rows", work)
     n = range(len(columns))
     suspect = ", ".join(f"c{i}, regexp_matches(c{i}, '{_SUSPECT}') AS s{i}" for i in n)
-    spelled = ", ".join(f"c{i}, s{i}, CASE WHEN s{i} THEN {_spelled(f'c{i}')} ELSE c{i} END AS y{i}" for i in n)
+    visible = ", ".join(f"c{i}, s{i}, CASE WHEN s{i} THEN {_spelled(f'c{i}')[0]} ELSE c{i} END AS x{i}" for i in n)
+    spelled = ", ".join(f"c{i}, s{i}, CASE WHEN s{i} THEN {_spelled(f'x{i}')[1]} ELSE c{i} END AS y{i}" for i in n)
     latin = ", ".join(f"CASE WHEN s{i} THEN {_latin_words(f'y{i}')} ELSE c{i} END AS z{i}, c{i}, s{i}" for i in n)
     final = ", ".join(f"z{i}, coalesce(CASE WHEN s{i} THEN z{i} IS DISTINCT FROM c{i} OR {mixed_sql(f'c{i}')} ELSE false END, false) AS o{i}" if flags else f"z{i}" for i in n)
-    out = con.sql(f"SELECT {final} FROM (SELECT {latin} FROM (SELECT {spelled} FROM (SELECT {suspect} FROM kuatia_rows)))").to_arrow_table()
+    out = con.sql(f"SELECT {final} FROM (SELECT {latin} FROM (SELECT {spelled} FROM (SELECT {visible} FROM (SELECT {suspect} FROM kuatia_rows))))").to_arrow_table()
     con.unregister("kuatia_rows")
     for i, c in enumerate(columns):
         rows = rows.set_column(rows.schema.get_field_index(c), c, out[f"z{i}"])

@@ -18,7 +18,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,9 +41,9 @@ def keys_sql(body: str) -> str:
     return f"list_transform(string_split({text}, chr(10)), lambda x: CASE WHEN x = '' THEN NULL ELSE (hash(x) >> 1)::BIGINT END)"
 
 
-def line_keys(articles: DataFrame) -> DataFrame:
-    """(article_id, source, keys): one row per distinct article, the node key of each of its lines in order."""
-    schema = T.StructType([T.StructField("article_id", T.LongType()), T.StructField("source", T.StringType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+def prepared(articles: DataFrame, with_body: bool) -> DataFrame:
+    """(article_id, source, keys[, body]): the node key of each of a row's lines in order, and the body in its consistent form."""
+    schema = T.StructType([T.StructField("article_id", T.LongType()), T.StructField("source", T.StringType()), T.StructField("keys", T.ArrayType(T.LongType()))] + [T.StructField("body", T.StringType())] * with_body)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         con = duck()
@@ -49,11 +51,16 @@ def line_keys(articles: DataFrame) -> DataFrame:
             if batch.num_rows:
                 rows = clean_batch(con, batch, ["body"])
                 con.register("kuatia_lines", rows)
-                out = con.sql(f"SELECT article_id, source, {keys_sql('body')} AS keys FROM kuatia_lines").to_arrow_table()
+                out = con.sql(f"SELECT article_id, source, {keys_sql('body')} AS keys{', body' * with_body} FROM kuatia_lines").to_arrow_table()
                 yield from out.cast(_arrow(schema)).to_batches()
                 con.unregister("kuatia_lines")
 
-    return articles.select("article_id", "source", "body").mapInArrow(run, schema).dropDuplicates(["article_id"])
+    return articles.select("article_id", "source", "body").mapInArrow(run, schema)
+
+
+def line_keys(rows: DataFrame) -> DataFrame:
+    """(article_id, source, keys): one row per distinct article of what prepared() gives."""
+    return rows.select("article_id", "source", "keys").dropDuplicates(["article_id"])
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
@@ -122,28 +129,38 @@ def with_drop_list(articles: DataFrame, lines: DataFrame) -> DataFrame:
     return articles.join(lists, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
 
 
-def kept_sql(body: str) -> str:
-    """DuckDB expression: the body (in its consistent form) without the lines whose keys are in ``drop``."""
-    return f"CASE WHEN \"drop\" IS NULL THEN {body} ELSE array_to_string(list_filter(string_split({body}, chr(10)), lambda x, i: NOT coalesce(list_contains(\"drop\", ({keys_sql(body)})[i]), false)), chr(10)) END"
-
-
-def without_boilerplate(articles: DataFrame, lines: DataFrame) -> DataFrame:
-    """(article_id, source, body): each body in its consistent form without its source's boilerplate lines."""
-    schema = T.StructType([T.StructField("article_id", T.LongType()), T.StructField("source", T.StringType()), T.StructField("body", T.StringType())])
+def kept_bodies(batch: pa.RecordBatch) -> pa.Array:
+    """The bodies of a batch of (keys, body, drop) without the lines whose keys are in ``drop``."""
+    keys, lines = batch["keys"], pc.split_pattern(batch["body"], "\n")
+    flat, offsets = keys.flatten(), np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(keys), 0).to_numpy())))
+    numbers = pc.fill_null(flat, -1).to_numpy()
+    keep = np.ones(len(numbers), bool)
+    owner = np.repeat(np.arange(len(keys)), np.diff(offsets))
+    # rows of one source share one list
+    sources = pc.dictionary_encode(pc.fill_null(batch["source"], "")).indices.to_numpy()
+    for source in np.unique(sources):
+        rows = np.flatnonzero(sources == source)
+        drop = batch["drop"][int(rows[0])].as_py()
+        if drop:
+            here = sources[owner] == source
+            keep[here] = ~np.isin(numbers[here], drop)
+    counts = np.bincount(owner[keep], minlength=len(keys))
+    kept = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), lines.flatten().filter(pa.array(keep)))
+    return pc.if_else(batch["body"].is_null(), pa.scalar(None, pa.string()), pc.binary_join(kept, "\n"))
+
+
+def without_boilerplate(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """(article_id, source, body): each body of prepared() rows without its source's boilerplate lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        con = duck()
         for batch in batches:
             if batch.num_rows:
-                rows = clean_batch(con, batch, ["body"])
-                con.register("kuatia_lines", rows)
-                yield from con.sql(f"SELECT article_id, source, {kept_sql('body')} AS body FROM kuatia_lines").to_arrow_table().cast(_arrow(schema)).to_batches()
-                con.unregister("kuatia_lines")
+                yield pa.RecordBatch.from_arrays([batch["article_id"], batch["source"], kept_bodies(batch)], ["article_id", "source", "body"])
 
-    return with_drop_list(articles.select("article_id", "source", "body"), lines).mapInArrow(run, schema)
+    return with_drop_list(rows, lines).mapInArrow(run, "article_id long, source string, body string")
 
 
 def found(articles: DataFrame) -> DataFrame:
     """(article_id, line_no) of every excessive line."""
-    keyed = stage(line_keys(articles), "line-keys")
+    keyed = stage(line_keys(prepared(articles, False)), "line-keys")
     return occurrences(keyed, stage(boilerplate(keyed), "boilerplate"))

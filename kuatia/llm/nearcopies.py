@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kuatia.llm.charforms import clean_batch, duck
-from kuatia.llm.lines import boilerplate, kept_sql, line_keys, with_drop_list
+from kuatia.llm.charforms import duck
+from kuatia.llm.lines import boilerplate, kept_bodies, line_keys, prepared, with_drop_list
 from kuatia.session import broadcast_if_small, stage
 
 WORDS = 3
@@ -56,7 +56,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def shingle_hashes(words: np.ndarray, offsets: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each row's distinct runs of ``size`` words, and the rows' new offsets. words: hashes of all rows' words."""
+    """44-bit hashes of each row's distinct runs of ``size`` words, and the rows' new offsets. words: hashes of all rows' words, of fewer than 2**20 rows."""
     rows = len(offsets) - 1
     lengths = np.diff(offsets)
     n = len(words) - size + 1
@@ -65,15 +65,13 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, size: int = WORDS) ->
     h = np.zeros(n, np.uint64)
     for i in range(size):
         h = _mix(h + words[i : i + n] * np.uint64(2 * i + 3))
-    owner = np.repeat(np.arange(rows), lengths)
+    owner = np.repeat(np.arange(rows, dtype=np.uint64), lengths)
     inside = owner[:n] == owner[size - 1 :]
-    h, owner = h[inside], owner[:n][inside]
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
-    first = np.ones(len(h), bool)
-    first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    h, owner = h[first], owner[first]
-    return h, np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=rows))))
+    # one sort by row and hash; a row's hashes keep 44 bits
+    both = np.sort((owner[:n][inside] << np.uint64(44)) | (h[inside] >> np.uint64(20)))
+    both = both[np.concatenate(([True], both[1:] != both[:-1]))] if len(both) else both
+    owner = (both >> np.uint64(44)).astype(np.int64)
+    return both & np.uint64((1 << 44) - 1), np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=rows))))
 
 
 def signatures(hashes: np.ndarray, offsets: np.ndarray, columns: int = COLUMNS) -> np.ndarray:
@@ -82,7 +80,7 @@ def signatures(hashes: np.ndarray, offsets: np.ndarray, columns: int = COLUMNS)
     factors = rng.integers(1 << 20, 1 << 32, columns, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
     shifts = rng.integers(0, 1 << 32, columns, dtype=np.uint64).astype(np.uint32)
     out = np.empty((len(offsets) - 1, columns), np.uint8)
-    low, high = hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint32)
+    low, high = hashes.astype(np.uint32), (_mix(hashes) >> np.uint64(32)).astype(np.uint32)
     step = 2000
     for at in range(0, len(offsets) - 1, step):
         cut = offsets[at : at + step + 1]
@@ -95,7 +93,7 @@ def signatures(hashes: np.ndarray, offsets: np.ndarray, columns: int = COLUMNS)
     return out
 
 
-def _sets(articles: DataFrame, lines: DataFrame, with_set: bool) -> DataFrame:
+def _sets(rows: DataFrame, lines: DataFrame, with_set: bool) -> DataFrame:
     """(article_id, h1, h2, signature[, shingles]) of every row that has a set."""
     schema = T.StructType([T.StructField("article_id", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("signature", T.BinaryType())] + [T.StructField("shingles", T.BinaryType())] * with_set)
 
@@ -103,9 +101,9 @@ def _sets(articles: DataFrame, lines: DataFrame, with_set: bool) -> DataFrame:
         con = duck()
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
-                rows = clean_batch(con, whole.slice(at, 2000), ["body"])
-                con.register("kuatia_bodies", rows)
-                got = con.sql(f"SELECT article_id, list_transform(regexp_extract_all(lower({kept_sql('body')}), '[\\p{{L}}\\p{{Nd}}]+'), lambda w: hash(w)) AS words FROM kuatia_bodies WHERE body IS NOT NULL").to_arrow_table().combine_chunks()
+                rows = whole.slice(at, 2000)
+                con.register("kuatia_bodies", pa.table({"article_id": rows["article_id"], "body": kept_bodies(rows)}))
+                got = con.sql(r"SELECT article_id, list_transform(regexp_extract_all(lower(body), '[\p{L}\p{Nd}]+'), lambda w: hash(w)) AS words FROM kuatia_bodies WHERE body IS NOT NULL").to_arrow_table().combine_chunks()
                 con.unregister("kuatia_bodies")
                 if not got.num_rows:
                     continue
@@ -125,7 +123,7 @@ def _sets(articles: DataFrame, lines: DataFrame, with_set: bool) -> DataFrame:
                     columns.append(pa.array([h[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
 
-    return with_drop_list(articles.select("article_id", "source", "body"), lines).mapInArrow(run, schema)
+    return with_drop_list(rows, lines).mapInArrow(run, schema)
 
 
 def _seeds(representatives: DataFrame) -> DataFrame:
@@ -224,20 +222,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
 
 
-def near_copies(articles: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+def near_copies(rows: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(members, links): members (article_id, class_id, size) of every article with a set, links (a, b) between classes.
 
-    class_id is the smallest article_id with the same set; links hold a < b, both class ids.
+    rows are those of lines.prepared(); class_id is the smallest article_id with
+    the same set; links hold a < b, both class ids.
     """
-    articles = articles.select("article_id", "source", "body")
-    docs = stage(_sets(articles, lines, False).dropDuplicates(["article_id"]), "signatures")
-    same = docs.groupBy("h1", "h2").agg(F.min("article_id").alias("class_id"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = docs.join(broadcast_if_small(same, BROADCAST_ROWS), ["h1", "h2"], "left").select("article_id", F.coalesce("class_id", "article_id").alias("class_id"), F.coalesce("size", F.lit(1)).alias("size"), "signature")
-    seeds = _seeds(members.where("article_id = class_id").select(F.col("article_id").alias("id"), "signature"))
+    docs = stage(_sets(rows, lines, False), "signatures")
+    each = docs.select("article_id", "h1", "h2").dropDuplicates(["article_id"])
+    same = each.groupBy("h1", "h2").agg(F.min("article_id").alias("class_id"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = stage(each.join(broadcast_if_small(same, BROADCAST_ROWS), ["h1", "h2"], "left").select("article_id", F.coalesce("class_id", "article_id").alias("class_id"), F.coalesce("size", F.lit(1)).alias("size")), "members")
+    later = members.where("article_id <> class_id").select("article_id")
+    # an article's repeated rows give equal seeds, which never pair with themselves
+    seeds = _seeds(docs.join(broadcast_if_small(later, BROADCAST_ROWS), "article_id", "left_anti").select(F.col("article_id").alias("id"), "signature"))
     candidates = stage(_meetings(seeds, budget(similarity) / (COLUMNS // SEGMENT)), "candidates")
     met = stage(candidates.select(F.explode(F.array("a", "b")).alias("article_id")).distinct(), "candidate-ids")
-    sets = stage(_sets(articles.join(broadcast_if_small(met, BROADCAST_ROWS), "article_id", "left_semi").dropDuplicates(["article_id"]), lines, True), "candidate-sets")
-    return members.drop("signature"), _verified(candidates, sets, similarity)
+    sets = stage(_sets(rows.join(broadcast_if_small(met, BROADCAST_ROWS), "article_id", "left_semi"), lines, True).dropDuplicates(["article_id"]), "candidate-sets")
+    return members, _verified(candidates, sets, similarity)
 
 
 def expanded(members: DataFrame, links: DataFrame, full_class: int = FULL_CLASS) -> DataFrame:
@@ -254,5 +255,6 @@ def expanded(members: DataFrame, links: DataFrame, full_class: int = FULL_CLASS)
 
 def found(articles: DataFrame) -> DataFrame:
     """(article_id_a, article_id_b) of every pair of articles whose bodies are alike."""
-    lines = stage(boilerplate(stage(line_keys(articles), "line-keys")), "boilerplate")
-    return expanded(*near_copies(articles, lines))
+    rows = stage(prepared(articles, True), "prepared")
+    lines = stage(boilerplate(stage(line_keys(rows), "line-keys")), "boilerplate")
+    return expanded(*near_copies(rows, lines))
