@@ -98,8 +98,11 @@ def _sets(rows: DataFrame, lines: DataFrame, with_set: bool) -> DataFrame:
     schema = T.StructType([T.StructField("article_id", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("signature", T.BinaryType())] + [T.StructField("shingles", T.BinaryType())] * with_set)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        con = duck()
+        con, seen = duck(), set()
         for whole in batches:
+            # repeated rows of an article give one set a task
+            new = [i for i, x in enumerate(whole["article_id"].to_pylist()) if not (x in seen or seen.add(x))]
+            whole = whole.take(pa.array(new, pa.int64()))
             for at in range(0, whole.num_rows, 2000):
                 rows = whole.slice(at, 2000)
                 con.register("kuatia_bodies", pa.table({"article_id": rows["article_id"], "body": kept_bodies(rows)}))
@@ -219,7 +222,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
     one = sets.select(F.col("article_id").alias("a"), F.col("signature").alias("signature_a"), F.col("shingles").alias("shingles_a"))
     two = sets.select(F.col("article_id").alias("b"), F.col("signature").alias("signature_b"), F.col("shingles").alias("shingles_b"))
-    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_copies(rows: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -237,7 +240,7 @@ def near_copies(rows: DataFrame, lines: DataFrame, similarity: float = SIMILARIT
     seeds = _seeds(docs.join(broadcast_if_small(later, BROADCAST_ROWS), "article_id", "left_anti").select(F.col("article_id").alias("id"), "signature"))
     candidates = stage(_meetings(seeds, budget(similarity) / (COLUMNS // SEGMENT)), "candidates")
     met = stage(candidates.select(F.explode(F.array("a", "b")).alias("article_id")).distinct(), "candidate-ids")
-    sets = stage(_sets(rows.join(broadcast_if_small(met, BROADCAST_ROWS), "article_id", "left_semi"), lines, True).dropDuplicates(["article_id"]), "candidate-sets")
+    sets = stage(_sets(rows.join(broadcast_if_small(met, BROADCAST_ROWS), "article_id", "left_semi"), lines, True), "candidate-sets")
     return members, _verified(candidates, sets, similarity)
 
 
