@@ -1,6 +1,8 @@
 """All core queries and their SQL."""
 
-from kuatia.plans import publication
+from kuatia.plans import publication, relational, scalars  # noqa: F401  (they register their queries)
+from kuatia.plans.registry import QUERIES as _REGISTERED
+from kuatia.plans.registry import SQL as _SQL
 
-QUERIES: dict = {"p3_found": publication.p3_found}
-SQL: dict = {}
+QUERIES = {"p3_found": publication.p3_found, **_REGISTERED}
+SQL = dict(_SQL)
