@@ -42,13 +42,13 @@ def nearest_earlier(df: DataFrame, key: str, time: str, vector: str, hours: floa
     every = F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))
     targets = rows.withColumn("tp", part).withColumn("cp", F.explode(every)).select("span", "tp", "cp", "k", "t", "v")
     spans = F.array(F.col("span"), F.col("span") + 1)
-    candidates = rows.withColumn("cp", part).withColumn("tp", F.explode(every)).withColumn("span", F.explode(spans)).select(F.col("span").alias("s2"), F.col("tp").alias("t2"), F.col("cp").alias("c2"), "k", "t", "v")
+    candidates = rows.withColumn("cp", part).withColumn("tp", F.explode(every)).withColumn("span", F.explode(spans)).select(F.col("span").alias("s2"), F.col("tp").alias("t2"), F.col("cp").alias("c2"), F.col("k").alias("key2"), F.col("t").alias("time2"), F.col("v").alias("vector2"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"target": [], "candidate": [], "similarity": []}
         if left.num_rows and right.num_rows:
-            a, b = _matrix(left["v"]), _matrix(right["v"])
-            ka, ta, kb, tb = (x.to_numpy() for x in (left["k"], left["t"], right["k"], right["t"]))
+            a, b = _matrix(left["v"]), _matrix(right["vector2"])
+            ka, ta, kb, tb = (x.to_numpy() for x in (left["k"], left["t"], right["key2"], right["time2"]))
             for i in range(0, len(ka), 512):
                 s = np.round(a[i : i + 512] @ b.T, 9)
                 t, key_ = ta[i : i + 512, None], ka[i : i + 512, None]
@@ -87,7 +87,10 @@ def features(pairs: DataFrame) -> DataFrame:
     shared = {c: F.size(F.array_intersect(f"target_{c}", f"candidate_{c}")).cast("long") for c in ("per", "org", "loc")}
 
     def tagged(side: str) -> Column:
-        return F.concat(*(F.transform(f"{side}_{c}", lambda x, c=c: F.concat(F.lit(f"{c}:"), x)) for c in ("per", "org", "loc")))
+        def mark(c: str) -> Column:
+            return F.transform(f"{side}_{c}", lambda x: F.concat(F.lit(f"{c}:"), x))
+
+        return F.concat(*(mark(c) for c in ("per", "org", "loc")))
 
     return pairs.select("target", "candidate", "similarity", *(e.alias(f"shared_{c}") for c, e in shared.items()), jaccard(tagged("target"), tagged("candidate")).alias("entity_jaccard"))
 
@@ -110,9 +113,9 @@ def block_pairs(rows: DataFrame, key: str, tokens: str, least: int = 2, most: in
 
 def inverse_frequency(rows: DataFrame, key: str, tokens: str) -> DataFrame:
     """(token, df, idf): ln((N + 1) / (df + 1)) + 1 over all rows."""
-    total = rows.agg(F.count(F.lit(1)).alias("total"))
+    total = rows.count()
     df = rows.select(key, F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    return df.join(F.broadcast(total)).select("token", "df", (F.log((F.col("total") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    return df.select("token", "df", (F.log(F.lit(total + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
 def weighted_jaccard(pairs: DataFrame, tokens: DataFrame, idf: DataFrame) -> DataFrame:

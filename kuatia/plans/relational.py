@@ -98,8 +98,8 @@ def q_unprotected_events(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE ts >= (SELECT date_trunc('day', min(ts)) FROM events) AND ts < (SELECT date_trunc('day', min(ts)) + INTERVAL 2 DAY FROM events) GROUP BY 1")
 def q_half_open_days(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events")
-    start = F.broadcast(events.agg(F.date_trunc("day", F.min("ts")).alias("start")))  # one row
-    inside = events.join(start, (F.col("ts") >= F.col("start")) & (F.col("ts") < F.col("start") + F.expr("interval 2 days")))
+    start = events.agg(F.to_date(F.min("ts"))).first()[0]
+    inside = events.where((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.date_add(F.lit(start), 2)))
     return inside.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
