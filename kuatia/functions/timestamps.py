@@ -166,7 +166,7 @@ def choose(df: DataFrame, source: str, order: list[str], candidates: str, out: s
         run = run[[len(s) > 1 for s in states]]
         return run[["_source", "_order", "_c", "_chosen"]]
 
-    chosen = runs.groupBy("_run").applyInPandas(decide, schema)
+    chosen = runs.groupBy("_source", "_run").applyInPandas(decide, schema)
     marked = several.select(*keys, F.col(candidates).alias("_c"), "*")
     joined = marked.join(chosen.withColumnsRenamed({"_source": "_s2", "_order": "_o2", "_c": "_c2"}), F.col("_source").eqNullSafe(F.col("_s2")) & F.col("_order").eqNullSafe(F.col("_o2")) & F.col("_c").eqNullSafe(F.col("_c2")), "left")
     return simple.unionByName(joined.select(*df.columns, F.col("_chosen").alias(out)))
