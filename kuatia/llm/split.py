@@ -1,8 +1,8 @@
 """Splitting oversized texts at natural boundaries (problem 9).
 
 A text is cut only between atoms: pre-tokens of the tokenizer, and inside a
-pre-token of more than LONG_WORD tokens also between its tokens where they end a
-character. Prefix sums of the atoms' token counts give each atom's token offset;
+pre-token of more than LONG_WORD tokens (or a quarter of the smallest limit) also
+between its tokens where they end a character. Prefix sums of the atoms' token counts give each atom's token offset;
 line ends and sentence ends form a sorted array of natural boundaries. From a
 piece's start the furthest atom under the limit is found by binary search, then
 by binary search the last natural boundary under it that still moves past the
@@ -10,7 +10,8 @@ previous piece's end; without one the cut is between words, and within an
 unbroken run between tokens (the hard cut). The next piece starts at the last
 atom that leaves at least ``overlap_tokens`` between the neighbours.
 
-Sizes are those of a piece encoded on its own, never more than max_tokens.
+Sizes are those of a piece encoded on its own, never more than max_tokens (but for
+a single character that alone has more).
 Results by case: null, empty and texts within the limit give no pieces; the
 pieces of a text, each without the part it shares with its predecessor, join to
 the text exactly; a limit must exceed its overlap.
@@ -35,9 +36,10 @@ NATURAL = r"\n+|[.!?…]+[\"'”’»)\]]*(?=\s)|[。！？]+"
 class Cutter:
     """Cuts one text after another; remembers word sizes between them."""
 
-    def __init__(self, folder: str = FOLDER, name: str = VOCABULARY):
+    def __init__(self, folder: str = FOLDER, name: str = VOCABULARY, smallest: int = 128):
         import re
 
+        self.long = max(1, min(LONG_WORD, smallest // 4))  # words of more tokens can be cut
         self.sizes, self.encoding = Sizes(folder, name), encoding(folder, name)
         self.split, self.natural = splitter().findall, re.compile(NATURAL)
 
@@ -45,10 +47,10 @@ class Cutter:
         """Character offsets of the atoms' borders, token offsets there, and whether a border lies inside a word."""
         words = self.split(text)
         sizes = self.sizes.of(words)
-        if max(sizes, default=0) > LONG_WORD:
+        if max(sizes, default=0) > self.long:
             chars, tokens, inner = [], [], []
             for word, size in zip(words, sizes):
-                if size <= LONG_WORD:
+                if size <= self.long:
                     chars.append(len(word)), tokens.append(size), inner.append(False)
                     continue
                 raw, n = b"", 0
@@ -84,9 +86,10 @@ class Cutter:
         while done < last:
             while True:
                 far = int(np.searchsorted(offset, offset[start] + limit, "right")) - 1
-                if far > done:
+                if far > done or start >= done:
+                    far = max(far, done + 1)  # a character of more tokens than the limit stands alone
                     break
-                start += 1  # one atom fills the limit: the overlap gives way
+                start += 1  # the next atom fills the limit: the overlap gives way
             end, size = self._end(text, at, offset, inner, natural, whole, start, done, far, last, limit)
             if end is None:
                 start = min(start + 1, done)
@@ -146,7 +149,7 @@ def split_texts(df: DataFrame, key: str, text: str, profiles: list[tuple[str, in
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = Cutter(folder, name)
+        cutter = Cutter(folder, name, min((p[1] for p in profiles), default=128))
         names = ["profile", key, "piece_no", "start_char", "end_char", "n_tokens", "text"]
         for batch in batches:
             rows: list[list] = [[] for _ in names]
