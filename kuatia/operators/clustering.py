@@ -151,25 +151,26 @@ def representatives(scored: DataFrame) -> DataFrame:
 def contexts(members: DataFrame, limit: int = CONTEXT, too_close: float = TOO_CLOSE) -> DataFrame:
     """(event_id, position, article_id): the representative, then central articles of new sources, then of any, none too close to one chosen.
 
-    members: (event_id, article_id, source_id, centrality, length, v, is_first). The
-    choice is greedy within an event; only its ``limit`` next candidates can matter
-    at a time, so events are read in order of rank and held no further than needed.
+    members: (event_id, article_id, source_id, centrality, length, v, is_first). An
+    article that may not be chosen never may again, so the greedy choice is the best
+    of those left, taken ``limit`` times: each round is one aggregation by event
+    (combined before the shuffle) against the few chosen so far.
     """
-
-    def pick(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["is_first", "centrality", "length", "article_id"], ascending=[False, False, False, True])
-        v = np.stack(rows["v"].to_numpy()).astype(float)
-        source = rows["source_id"].to_numpy()
-        chosen, seen = [0], {source[0]}
-        for new_only in (True, False):
-            for i in range(1, len(rows)):
-                if len(chosen) >= limit:
-                    break
-                if i in chosen or (new_only and source[i] in seen) or (v[chosen] @ v[i] >= too_close).any():
-                    continue
-                chosen.append(i)
-                seen.add(source[i])
-        ids = rows["article_id"].to_numpy()[chosen]
-        return pd.DataFrame({"event_id": rows["event_id"].iloc[0], "position": np.arange(1, len(ids) + 1), "article_id": ids})
-
-    return members.groupBy("event_id").applyInPandas(pick, "event_id long, position long, article_id long")
+    from kuatia.session import stage
+
+    rows = stage(members.select("event_id", "article_id", "source_id", "centrality", "length", "v", "is_first"), "members")
+    rank = F.struct(F.col("is_first"), "new", "centrality", "length", (-F.col("article_id")).alias("last"))
+    chosen = None
+    for position in range(1, limit + 1):
+        if chosen is None:
+            open_ = rows.withColumn("new", F.lit(True)).where("is_first")
+        else:
+            so_far = chosen.groupBy("event_id").agg(F.collect_list("v").alias("vs"), F.collect_set("source_id").alias("sources"), F.collect_list("article_id").alias("ids"))
+            near = F.exists("vs", lambda u: F.aggregate(F.zip_with(u, "v", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x) >= too_close)
+            open_ = rows.where("not is_first").join(so_far, "event_id").where(~F.array_contains("ids", F.col("article_id")) & ~near).withColumn("new", ~F.array_contains("sources", F.col("source_id")))
+        best = open_.groupBy("event_id").agg(F.max_by(F.struct("article_id", "source_id", "v"), rank).alias("b"))
+        best = stage(best.select("event_id", F.lit(position).cast("long").alias("position"), "b.article_id", "b.source_id", "b.v"), "chosen")
+        if position > 1 and best.isEmpty():
+            break
+        chosen = best if chosen is None else chosen.unionByName(best)
+    return chosen.select("event_id", "position", "article_id")

@@ -40,9 +40,8 @@ def roc_auc(scored: DataFrame, score: str, label: str, digits: int = 3) -> DataF
     return won.agg(F.round(F.sum("won") / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0)), 6).alias("auc"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
 
 
-def recall_at(ranked: DataFrame, partners: DataFrame, ks: tuple[int, ...] = (5, 10, 20)) -> DataFrame:
-    """(k, targets, recall): share of targets that have a partner among their first k. ranked: (target, candidate, rank), partners: (target, candidate)."""
-    best = ranked.join(partners, ["target", "candidate"], "left_semi").groupBy("target").agg(F.min("rank").alias("best"))
-    asked = partners.select("target").distinct().join(best, "target", "left")
-    grid = asked.withColumn("k", F.explode(F.array(*map(F.lit, ks))))
+def recall_at(ranked: DataFrame, asked: DataFrame, ks: tuple[int, ...] = (5, 10, 20)) -> DataFrame:
+    """(k, targets, recall): share of the asked targets that have a partner among their first k. ranked: (target, rank, partner BOOLEAN), asked: (target)."""
+    best = ranked.where("partner").groupBy("target").agg(F.min("rank").alias("best"))
+    grid = asked.join(best, "target", "left").withColumn("k", F.explode(F.array(*map(F.lit, ks))))
     return grid.groupBy("k").agg(F.count(F.lit(1)).alias("targets"), F.round(F.avg((F.coalesce("best", F.lit(1 << 30)) <= F.col("k")).cast("double")), 6).alias("recall"))

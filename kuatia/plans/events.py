@@ -276,16 +276,11 @@ def q_canonical_pairs(spark: SparkSession, d: str) -> DataFrame:
     return labelled(spark, d).withColumn("score", F.round("score", 6))
 
 
-@query("SELECT least(a.article_id, b.article_id) AS a, greatest(a.article_id, b.article_id) AS b, count(DISTINCT a.image_url = b.image_url) AS answers FROM event_context_articles a JOIN event_context_articles b ON a.event_id = b.event_id AND a.article_id < b.article_id GROUP BY 1, 2 HAVING count(DISTINCT a.image_url = b.image_url) > 1")
+@query("SELECT least(event_id, article_id) AS a, greatest(event_id, article_id) AS b, count(DISTINCT is_representative) AS answers FROM event_context_articles GROUP BY 1, 2 HAVING count(DISTINCT is_representative) > 1")
 def q_label_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of an event whose repeated rows disagree on an answer (whether they share an image); conflicts are found before anything is learned from pairs."""
-    rows = table(spark, d, "event_context_articles").select("event_id", "article_id", "image_url")
-    # only articles whose rows differ among themselves can disagree
-    mixed = rows.groupBy("article_id").agg(F.count_distinct("image_url").alias("n"), F.count(F.lit(1)).alias("m")).where("m > 1 and n > 0").select("article_id")
-    some = rows.join(mixed, "article_id", "left_semi")
-    pair = lambda x, y: x.alias("x").join(y.alias("y"), (F.col("x.event_id") == F.col("y.event_id")) & (F.col("x.article_id") != F.col("y.article_id")))
-    met = pair(some, rows).select(F.least("x.article_id", "y.article_id").alias("a"), F.greatest("x.article_id", "y.article_id").alias("b"), (F.col("x.image_url") == F.col("y.image_url")).alias("same"))
-    return met.groupBy("a", "b").agg(F.count_distinct("same").alias("answers")).where("answers > 1")
+    """Pairs in one order whose rows carry different labels; conflicts are found before anything is learned from pairs."""
+    rows = table(spark, d, "event_context_articles").select(F.least("event_id", "article_id").alias("a"), F.greatest("event_id", "article_id").alias("b"), "is_representative")
+    return rows.groupBy("a", "b").agg(F.count_distinct("is_representative").alias("answers")).where("answers > 1")
 
 
 @query(_sql(_TIMED, _NEAR, _LABELLED) + "SELECT a AS article_id, b AS partner FROM lab WHERE same UNION SELECT b, a FROM lab WHERE same")
@@ -310,12 +305,14 @@ def q_roc_auc(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_sql(_TIMED, _NEAR) + ", part AS (SELECT DISTINCT a.article_id AS target, b.article_id AS candidate FROM tv a JOIN ea x ON x.article_id = a.article_id JOIN ea y ON y.event_id = x.event_id JOIN tv b ON b.article_id = y.article_id WHERE b.t < a.t OR (b.t = a.t AND b.article_id < a.article_id)), best AS (SELECT p.target, min(rank) AS best FROM (SELECT DISTINCT target FROM part) p LEFT JOIN (SELECT target, rank FROM near SEMI JOIN part USING (target, candidate)) USING (target) GROUP BY 1) SELECT k::INT AS k, count(*) AS targets, round(avg(CASE WHEN best <= k THEN 1.0 ELSE 0.0 END), 6) AS recall FROM best, (SELECT unnest([5, 10, 20]) AS k) GROUP BY 1")
 def q_recall_at_k(spark: SparkSession, d: str) -> DataFrame:
-    times = timed_vectors(spark, d).select("article_id", "time")
-    own = event_articles(spark, d).join(times, "article_id")
-    x = own.select("event_id", F.col("article_id").alias("target"), F.col("time").alias("t1"))
-    y = own.select("event_id", F.col("article_id").alias("candidate"), F.col("time").alias("t2"))
-    partners = x.join(y, "event_id").where("t2 < t1 or (t2 = t1 and candidate < target)").select("target", "candidate").distinct()
-    return metrics.recall_at(neighbours(spark, d), partners)
+    """Targets are articles with an earlier one in an event of theirs; no pairs of an event are formed to find them."""
+    own = event_articles(spark, d).join(timed_vectors(spark, d).select("article_id", "time"), "article_id")
+    first = own.groupBy("event_id").agg(F.min_by("article_id", F.struct("time", "article_id")).alias("first"))
+    asked = own.join(first, "event_id").where("article_id <> first").select(F.col("article_id").alias("target")).distinct()
+    ea = event_articles(spark, d).groupBy("article_id").agg(F.collect_set("event_id").alias("e"))
+    near = neighbours(spark, d).select("target", "candidate", "rank")
+    both = near.join(ea.select(F.col("article_id").alias("target"), F.col("e").alias("e1")), "target").join(ea.select(F.col("article_id").alias("candidate"), F.col("e").alias("e2")), "candidate")
+    return metrics.recall_at(both.select("target", "rank", F.arrays_overlap("e1", "e2").alias("partner")), asked)
 
 
 @query(_sql(_TIMED, _NEAR) + "SELECT same, count(*) AS pairs, round(avg(h), 5) AS mean_hours, round(quantile_cont(h, 0.5), 5) AS median_hours, round(quantile_cont(h, 0.95), 5) AS p95_hours, round(max(h), 5) AS max_hours, round(avg(ln(1 + h)), 5) AS mean_log_hours FROM (SELECT target, candidate, abs(epoch_us(x.t) - epoch_us(y.t)) / 3.6e9 AS h, EXISTS (SELECT 1 FROM ea p JOIN ea q ON p.event_id = q.event_id WHERE p.article_id = target AND q.article_id = candidate) AS same FROM near JOIN tv x ON x.article_id = target JOIN tv y ON y.article_id = candidate) GROUP BY 1")
