@@ -98,5 +98,5 @@ def shares(sizes: DataFrame, targets: DataFrame, mixed: DataFrame) -> DataFrame:
     used = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("mixed_tokens"), F.count(F.lit(1)).alias("documents_used"), F.max("copies").alias("most_repeats"))
     have = sizes.groupBy("source").agg(F.sum("n_tokens").alias("source_tokens"))
     out = targets.where("source is not null").select("source", "target_share").join(used, "source", "left").join(have, "source", "left").na.fill(0, ["mixed_tokens", "documents_used", "most_repeats", "source_tokens"])
-    total = used.agg(F.sum("mixed_tokens").alias("total"))
-    return out.join(F.broadcast(total), how="cross").select("source", "target_share", F.coalesce(F.col("mixed_tokens") / F.col("total"), F.lit(0.0)).alias("actual_share"), "mixed_tokens", "source_tokens", "documents_used", "most_repeats")
+    total = F.sum("mixed_tokens").over(Window.partitionBy(F.lit(1)))  # one row a listed source
+    return out.select("source", "target_share", F.coalesce(F.col("mixed_tokens") / F.nullif(total, F.lit(0)), F.lit(0.0)).alias("actual_share"), "mixed_tokens", "source_tokens", "documents_used", "most_repeats")

@@ -64,9 +64,12 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 def fit(rows: DataFrame, sample: int = SAMPLE, pivots: int = PIVOTS) -> dict[tuple, tuple[np.ndarray, np.ndarray, int]]:
     """By (model, task): the pivots, the lowest value kept of each pivot's array, and the number of rows."""
-    window = Window.partitionBy("model", "task").orderBy(F.xxhash64("id"), "id")
-    drawn = rows.withColumn("n", F.row_number().over(window)).where(F.col("n") <= sample).select("model", "task", "n", "embedding").collect()
     counts = {(r["model"], r["task"]): r["count"] for r in rows.groupBy("model", "task").count().collect()}
+    # the lowest hashes: a share of the hash range that holds twice the sample, then exactly the sample
+    shares = rows.sparkSession.createDataFrame([(*g, float(2 * sample + 200) / n) for g, n in counts.items()] or [(None, None, 0.0)], "m string, t string, share double")
+    low = rows.join(F.broadcast(shares), F.col("model").eqNullSafe(F.col("m")) & F.col("task").eqNullSafe(F.col("t"))).where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40)) < F.col("share") * (1 << 40))
+    window = Window.partitionBy("model", "task").orderBy(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40)), "id")
+    drawn = low.withColumn("n", F.row_number().over(window)).where(F.col("n") <= sample).select("model", "task", "n", "embedding").collect()
     out = {}
     for group, count in counts.items():
         own = sorted((r["n"], r["embedding"]) for r in drawn if (r["model"], r["task"]) == group)
