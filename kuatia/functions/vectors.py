@@ -13,8 +13,9 @@ def dot(a: Column, b: Column) -> Column:
 def unit(v: Column) -> Column:
     """The vector at length one; one of length zero stays as it is."""
     doubles = v.cast("array<double>")
-    norm = F.sqrt(dot(doubles, doubles))
-    return F.transform(doubles, lambda x: F.when(norm > 0, x / norm).otherwise(x))
+    # the norm is bound once by an array of one, else it would be taken anew for each value
+    norms = F.array(F.sqrt(dot(doubles, doubles)))
+    return F.transform(norms, lambda n: F.transform(doubles, lambda x: F.when(n > 0, x / n).otherwise(x)))[0]
 
 
 def parsed(text: Column) -> Column:
