@@ -37,7 +37,7 @@ from kuatia.session import stage
 
 K = 10
 SAMPLE = 8192
-PIVOTS = 1024
+PIVOTS = 2048
 RHO = 0.02
 PROBES = 16
 COLLISIONS = 3
@@ -51,7 +51,7 @@ MIN_CELLS = 12
 #: Queries that a cell takes at a time; those of one nearest pivot share their windows.
 BATCH = 32_768
 #: Nearest pivots in whose groups a query asks.
-GROUPS = 2
+GROUPS = 3
 #: Rows may lie above the centre by this much more than below it (the arrays end there anyway).
 SPREAD = 1.0
 
