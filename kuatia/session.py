@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,7 @@ DEFAULTS = {
 }
 
 _stages: list[tuple[SparkSession, str]] = []
+_shipped: set[str] = set()
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -34,6 +37,20 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once a session: their path need not hold it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    path = pathlib.Path(tempfile.mkdtemp(prefix="kuatia-code-"), "kuatia-code.zip")  # Spark serves it from the driver
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as code:
+        for file in sorted(root.rglob("*.py")):
+            code.write(file, pathlib.Path(root.name, file.relative_to(root)))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
