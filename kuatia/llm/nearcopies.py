@@ -41,6 +41,8 @@ COLUMNS = 288
 #: Columns behind a segment that take part in the chain test, in bits that fit one long.
 TAIL, TAIL_BITS = 12, 5
 FULL_CLASS = 1000
+#: Keys in a part of the segment index.
+PART_KEYS = 700_000
 BROADCAST_ROWS = 50_000
 
 
@@ -129,25 +131,42 @@ def _sets(rows: DataFrame, lines: DataFrame, with_set: bool) -> DataFrame:
     return with_drop_list(rows, lines).mapInArrow(run, schema)
 
 
-def _seeds(representatives: DataFrame) -> DataFrame:
-    """(segment, tail, id): each segment of each signature as an index key, with the columns that follow it on the ring."""
+def _planes(x: np.ndarray) -> bytes:
+    """The array's bytes by place, so that places which hardly vary compress."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _unplanes(parts: list[bytes], kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.concatenate([np.ascontiguousarray(np.frombuffer(p, np.uint8).reshape(size, -1).T).view(kind)[:, 0] for p in parts])
+
+
+def _seeds(representatives: DataFrame, parts: int) -> DataFrame:
+    """(part, segments, tails, ids): each segment of each signature as an index key, with the columns that follow it on the ring.
+
+    The keys of a batch that belong to one part of the index travel as one row of packed columns.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             signature = np.frombuffer(b"".join(batch["signature"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            ids = batch["id"].to_numpy()
             ring = np.concatenate((signature, signature[:, :TAIL]), axis=1)
-            for at in range(0, signature.shape[1], SEGMENT):
-                word = np.ascontiguousarray(signature[:, at : at + SEGMENT]).view(np.uint32)[:, 0].astype(np.uint64)
-                key = (_mix(word + np.uint64(at << 32) + np.uint64(1)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                tail = np.zeros(batch.num_rows, np.int64)
-                for j in range(TAIL):
-                    tail |= (ring[:, at + SEGMENT + j].astype(np.int64) & ((1 << TAIL_BITS) - 1)) << (TAIL_BITS * j)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(tail), pa.array(ids)], ["segment", "tail", "id"])
-
-    return representatives.mapInArrow(run, "segment int, tail long, id long")
+            at = np.arange(0, signature.shape[1], SEGMENT)
+            words = signature.view(np.uint32).astype(np.uint64)
+            key = (_mix(words + (at.astype(np.uint64) << np.uint64(32)) + np.uint64(1)) >> np.uint64(32)).astype(np.uint32)
+            tail = np.zeros(key.shape, np.int64)
+            for j in range(TAIL):
+                tail |= (ring[:, at + SEGMENT + j].astype(np.int64) & ((1 << TAIL_BITS) - 1)) << (TAIL_BITS * j)
+            key, tail, ids = key.ravel(), tail.ravel(), np.repeat(batch["id"].to_numpy(), key.shape[1])
+            part = (key % np.uint32(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            own = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), *(pa.array([_planes(x[o]) for o in own], pa.binary()) for x in (key, tail, ids))], ["part", "segments", "tails", "ids"])
+
+    return representatives.mapInArrow(run, "part int, segments binary, tails binary, ids binary")
 
 
 def chain_holds(a: np.ndarray, b: np.ndarray, per_segment: float) -> np.ndarray:
@@ -162,11 +181,11 @@ def chain_holds(a: np.ndarray, b: np.ndarray, per_segment: float) -> np.ndarray:
     return ok
 
 
-def _meetings(seeds: DataFrame, per_segment: float) -> DataFrame:
+def _meetings(seeds: DataFrame, parts: int, per_segment: float) -> DataFrame:
     """(a, b), a < b: representatives that meet in a segment and pass the chain test there.
 
-    The index is sorted by Spark, which spills; a task holds one segment's ids and
-    tails (16 bytes each) at a time and emits only the pairs that pass.
+    A part of the index has about PART_KEYS keys of 20 bytes, whatever the size of
+    the collection; only the pairs that pass are emitted.
     """
 
     def flush(tail: np.ndarray, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -183,22 +202,22 @@ def _meetings(seeds: DataFrame, per_segment: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[ok]), pa.array(np.maximum(a, b)[ok])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)]
+        held: dict[int, list] = {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            segment, tail, ids = (np.concatenate((h, batch[c].to_numpy())) for h, c in zip(held, ("segment", "tail", "id")))
-            edges = np.flatnonzero(segment[1:] != segment[:-1]) + 1
-            last = edges[-1] if len(edges) else 0  # the last run may go on in the next batch
-            held = [segment[last:], tail[last:], ids[last:]]
-            if last:
-                starts = np.concatenate(([0], edges[:-1]))
-                many = edges - starts > 1
-                yield from flush(tail, ids, starts[many], edges[many])
-        if len(held[0]) > 1:
-            yield from flush(held[1], held[2], np.array([0]), np.array([len(held[0])]))
-
-    return seeds.repartition("segment").sortWithinPartitions("segment").mapInArrow(run, "a long, b long").distinct()
+            for part, *columns in zip(*(batch[c].to_pylist() for c in ("part", "segments", "tails", "ids"))):
+                held.setdefault(part, []).append(columns)
+        while held:
+            segments, tails, ids = zip(*held.popitem()[1])
+            segment = _unplanes(segments, np.uint32)
+            order = np.argsort(segment, kind="stable")
+            segment = segment[order]
+            edges = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1], [True])))
+            starts, ends = edges[:-1], edges[1:]
+            many = ends - starts > 1
+            if many.any():
+                yield from flush(_unplanes(tails, np.int64)[order], _unplanes(ids, np.int64)[order], starts[many], ends[many])
+
+    return seeds.repartitionById(parts, F.col("part")).mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -237,8 +256,9 @@ def near_copies(rows: DataFrame, lines: DataFrame, similarity: float = SIMILARIT
     members = stage(each.join(broadcast_if_small(same, BROADCAST_ROWS), ["h1", "h2"], "left").select("article_id", F.coalesce("class_id", "article_id").alias("class_id"), F.coalesce("size", F.lit(1)).alias("size")), "members")
     later = members.where("article_id <> class_id").select("article_id")
     # an article's repeated rows give equal seeds, which never pair with themselves
-    seeds = _seeds(docs.join(broadcast_if_small(later, BROADCAST_ROWS), "article_id", "left_anti").select(F.col("article_id").alias("id"), "signature"))
-    candidates = stage(_meetings(seeds, budget(similarity) / (COLUMNS // SEGMENT)), "candidates")
+    parts = max(1, math.ceil(docs.count() * (COLUMNS // SEGMENT) / PART_KEYS))
+    seeds = _seeds(docs.join(broadcast_if_small(later, BROADCAST_ROWS), "article_id", "left_anti").select(F.col("article_id").alias("id"), "signature"), parts)
+    candidates = stage(_meetings(seeds, parts, budget(similarity) / (COLUMNS // SEGMENT)), "candidates")
     met = stage(candidates.select(F.explode(F.array("a", "b")).alias("article_id")).distinct(), "candidate-ids")
     sets = stage(_sets(rows.join(broadcast_if_small(met, BROADCAST_ROWS), "article_id", "left_semi"), lines, True), "candidate-sets")
     return members, _verified(candidates, sets, similarity)
