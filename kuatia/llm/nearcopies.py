@@ -125,7 +125,7 @@ def _sets(rows: DataFrame, lines: DataFrame, with_set: bool) -> DataFrame:
                 signature = signatures(h, cut)
                 columns = [pa.array(ids), pa.array(sums[0]), pa.array(sums[1]), pa.array([r.tobytes() for r in signature], pa.binary())]
                 if with_set:
-                    columns.append(pa.array([h[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()))
+                    columns.append(pa.array([_planes(h[a:b]) for a, b in zip(cut[:-1], cut[1:])], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
 
     return with_drop_list(rows, lines).mapInArrow(run, schema)
@@ -233,7 +233,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
             y = np.frombuffer(b"".join(batch["signature_b"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
             near = (x != y).sum(axis=1) <= most
             for i in np.flatnonzero(near):
-                p, q = np.frombuffer(a[i].as_buffer(), np.uint64), np.frombuffer(b[i].as_buffer(), np.uint64)
+                p, q = _unplanes([a[i].as_py()], np.uint64), _unplanes([b[i].as_py()], np.uint64)
                 common = len(np.intersect1d(p, q, assume_unique=True))
                 if common >= similarity * (len(p) + len(q) - common):
                     keep.append(i)
