@@ -228,7 +228,7 @@ def titled(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_sql(_TOKENS, _BLOCK) + "SELECT x.k AS a, y.k AS b, count(*) AS shared FROM kept x JOIN kept y ON x.token = y.token AND x.k < y.k GROUP BY 1, 2 HAVING count(*) >= 2")
 def q_token_block_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return pairs.block_pairs(titled(spark, d), "k", "tokens", most=40).where("shared >= 2")
+    return pairs.block_pairs(titled(spark, d), "k", "tokens").where("shared >= 2")
 
 
 @query(_sql(_TOKENS) + "SELECT token, count(*) AS df, round(ln(((SELECT count(*) FROM tok) + 1) / (count(*) + 1)::DOUBLE) + 1, 6) AS idf FROM (SELECT unnest(tokens) AS token FROM tok) GROUP BY 1")
@@ -246,7 +246,7 @@ def q_token_idf(spark: SparkSession, d: str) -> DataFrame:
 def q_weighted_title_similarity(spark: SparkSession, d: str) -> DataFrame:
     rows = titled(spark, d)
     idf = pairs.inverse_frequency(rows, "k", "tokens").select("token", "idf")
-    found = pairs.block_pairs(rows, "k", "tokens", most=40).where("shared >= 2").select("a", "b")
+    found = pairs.block_pairs(rows, "k", "tokens").where("shared >= 2").select("a", "b")
     out = pairs.weighted_jaccard(found, rows.select("k", F.explode("tokens").alias("token")), idf)
     return out.select("a", "b", F.round("overlap", 5).alias("overlap"), F.round("similarity", 5).alias("similarity"))
 
