@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kuatia.operators.views import MODEL, articles, event_articles, with_
 from kuatia.plans.registry import query
-from kuatia.session import table
+from kuatia.session import stage, table
 
 EXCLUDED = ["Canal Yvarujhy", "Radio Tatatí"]
 CUTOFF = "2025-07-01"
@@ -112,10 +112,20 @@ def q_local_days(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT article_id, {EFFECTIVE_SQL} AS effective_time, row_number() OVER (ORDER BY {EFFECTIVE_SQL}, article_id, event_id) AS n FROM (SELECT event_id, article_id, max(published_at) AS published_at, min(scraped_at) AS scraped_at FROM event_context_articles GROUP BY ALL) QUALIFY n <= 500")
 def q_effective_order(spark: SparkSession, d: str) -> DataFrame:
-    """The 500 earliest memberships by effective time, id breaking ties (a top-k report)."""
+    """Every membership with its position by effective time, id breaking ties.
+
+    Positions come from a range-partitioned sort: a row's place in its partition
+    after the rows of the partitions before it, so no task holds all rows.
+    """
     rows = table(spark, d, "event_context_articles").groupBy("event_id", "article_id").agg(F.max("published_at").alias("published_at"), F.min("scraped_at").alias("scraped_at"))
-    first = rows.select("event_id", "article_id", effective_time().alias("effective_time")).orderBy("effective_time", "article_id", "event_id").limit(500)
-    return first.select("article_id", "effective_time", F.row_number().over(Window.orderBy("effective_time", "article_id", "event_id")).cast("long").alias("n"))
+    order = [F.col("effective_time").asc_nulls_last(), "article_id", "event_id"]
+    timed = rows.select("event_id", "article_id", effective_time().alias("effective_time"))
+    ordered = stage(timed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "effective-order")
+    part = F.shiftright("_id", 33).alias("_part")
+    counts = ordered.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))  # one row a partition
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_id") - F.shiftleft("_part", 33) + 1
+    return ordered.withColumn("_part", F.shiftright("_id", 33)).join(F.broadcast(before), "_part").select("article_id", "effective_time", place.alias("n"))
 
 
 @query("SELECT e.event_id, e.ts, p.event_id AS before_id, p.ts AS before_ts FROM (SELECT *, lag(event_id) OVER w AS pid FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) e LEFT JOIN events p ON p.event_id = e.pid")

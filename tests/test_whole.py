@@ -1,5 +1,6 @@
 """Queries against brute force on tables that earlier bounds would have cut."""
 
+import datetime
 import math
 
 from kuatia.plans import catalog
@@ -30,3 +31,18 @@ def test_tokens_of_many_titles_block(spark, tmp_path):
     for (a, b), s in got.items():
         o = sum(idf[t] for t in titles[a] if t in titles[b])
         assert abs(s - o / (sum(idf[t] for t in titles[a]) + sum(idf[t] for t in titles[b]) - o)) < 2e-5
+
+
+def test_effective_order_numbers_every_membership(spark, tmp_path):
+    start = datetime.datetime(2024, 1, 1, tzinfo=datetime.UTC)
+    rows = []
+    for i in range(1300):
+        scraped = start + datetime.timedelta(hours=i * 7919 % 1300 // 2)
+        published = [None, "ayer", (scraped - datetime.timedelta(days=400)).strftime("%Y-%m-%dT%H:%M:%S+00:00")][i % 3]
+        rows.append((i % 50, i, published, scraped))
+    rows += [(7, 5000, None, None)] + rows[:20]
+    d = write(spark, tmp_path, "event_context_articles", rows, "event_id long, article_id long, published_at string, scraped_at timestamp")
+    times = {(e, a): datetime.datetime.fromisoformat(p) if p and p[0] == "2" else s for e, a, p, s in rows}
+    want = sorted(times, key=lambda x: (times[x] is None, times[x] or start, x[1], x[0]))
+    got = {r.n: r.article_id for r in catalog.QUERIES["q_effective_order"](spark, d).collect()}
+    assert got == {n: a for n, (_, a) in enumerate(want, 1)}
