@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import csv
 import json
 import os
@@ -15,18 +16,27 @@ DELIMITERS = ",;\t|"
 HEAD = 1 << 16
 
 
+def encoding_of(path: str) -> str:
+    """The first of ENCODINGS that decodes the whole file, read in pieces of HEAD bytes."""
+    for encoding in ENCODINGS:
+        decoder = codecs.getincrementaldecoder(encoding)()
+        try:
+            with open(path, "rb") as f:
+                while piece := f.read(HEAD):
+                    decoder.decode(piece)
+            decoder.decode(b"", True)
+            return encoding
+        except UnicodeDecodeError:
+            continue
+    raise ValueError(f"no encoding decodes {path}")
+
+
 def sniff(path: str) -> tuple[str, str]:
-    """(encoding, delimiter) by a file's first bytes; the delimiter most used in the header where sniffing fails."""
+    """(encoding, delimiter): the encoding by the whole file, the delimiter by its first bytes, or the one most used in the header where sniffing fails."""
+    encoding = encoding_of(path)
     with open(path, "rb") as f:
         raw = f.read(HEAD)
-    for encoding in ENCODINGS:
-        try:
-            text = raw.decode(encoding)
-            break
-        except UnicodeDecodeError as e:
-            if e.start > len(raw) - 4:  # a character cut by the sample's end
-                text = raw[: e.start].decode(encoding)
-                break
+    text = codecs.getincrementaldecoder(encoding)().decode(raw)  # leaves out a character cut by the sample's end
     if encoding == "utf-8-sig" and not raw.startswith(b"\xef\xbb\xbf"):
         encoding = "utf-8"
     try:

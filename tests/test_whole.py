@@ -3,7 +3,10 @@
 import datetime
 import math
 
+import pytest
+
 from kuatia.plans import catalog
+from kuatia.sources import files
 
 
 def write(spark, folder, name, rows, schema):
@@ -46,3 +49,21 @@ def test_effective_order_numbers_every_membership(spark, tmp_path):
     want = sorted(times, key=lambda x: (times[x] is None, times[x] or start, x[1], x[0]))
     got = {r.n: r.article_id for r in catalog.QUERIES["q_effective_order"](spark, d).collect()}
     assert got == {n: a for n, (_, a) in enumerate(want, 1)}
+
+
+@pytest.mark.parametrize("encoding,last", [("cp1252", "ñandú “x” €5"), ("latin1", "ñandú \x81"), ("utf-8", "ñandú “x” €5"), ("utf-8-sig", "ñandú")])
+def test_csv_with_late_accents(spark, tmp_path, encoding, last):
+    path = tmp_path / "x.csv"
+    path.write_bytes(("id,title\n" + "".join(f"{i},plain words of a title\n" for i in range(6000)) + f"6000,{last}\n").encode(encoding))
+    assert path.stat().st_size > 2 * files.HEAD
+    df = files.read_csv(spark, str(path))
+    assert df.count() == 6001 and df.where("id = '6000'").first().title == last
+
+
+def test_csv_character_across_pieces(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    head = "id,title\n1,"
+    text = "a" * (files.HEAD - len(head) - 1) + "ñ"  # its two bytes lie in two pieces
+    path.write_text(f"{head}{text}\n", encoding="utf-8")
+    assert files.sniff(str(path)) == ("utf-8", ",")
+    assert files.read_csv(spark, str(path)).first().title == text
