@@ -38,14 +38,13 @@ def coefficients(model: PipelineModel, features: list[str] = FEATURES) -> list[t
 
 
 def out_of_fold(df: DataFrame, fold: str, folds: int, label: str = "same", features: list[str] = FEATURES) -> DataFrame:
-    """Every row scored by the model fitted without its fold."""
-    out = None
+    """Every row scored by the model fitted without its fold; null where the other folds hold only one class."""
+    out, fitted = None, False
     for i in range(folds):
         rest, held = df.where(F.col(fold) != i), df.where(F.col(fold) == i)
-        if rest.select(label).distinct().count() < 2:
-            continue
-        part = scored(fit(rest, label, features), held)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+        both = rest.select(label).distinct().count() >= 2
+        part = scored(fit(rest, label, features), held) if both else held.withColumn("probability", F.lit(None).cast("double"))
+        out, fitted = part if out is None else out.unionByName(part), fitted or both
+    if not fitted:
         raise ValueError("no fold leaves both classes")
     return out

@@ -2,9 +2,11 @@
 
 import datetime
 import math
+import random
 
 import pytest
 
+from kuatia.operators.matcher import out_of_fold
 from kuatia.plans import catalog
 from kuatia.sources import files
 
@@ -67,3 +69,15 @@ def test_csv_character_across_pieces(spark, tmp_path):
     path.write_text(f"{head}{text}\n", encoding="utf-8")
     assert files.sniff(str(path)) == ("utf-8", ",")
     assert files.read_csv(spark, str(path)).first().title == text
+
+
+def test_fold_without_a_model_keeps_its_rows(spark):
+    rng = random.Random(6)
+    # all positive pairs lie in fold 1: without it only one class is left
+    rows = [(i, i % 3, s := rng.random(), 0, 1, 0, s / 2, i % 3 == 1 and s > 0.5) for i in range(150)]
+    df = spark.createDataFrame(rows, "k int, fold int, similarity double, shared_per int, shared_org int, shared_loc int, entity_jaccard double, same boolean")
+    got = {r.k: r.probability for r in out_of_fold(df, "fold", 3).collect()}
+    assert got.keys() == set(range(150))
+    assert all((p is None) == (k % 3 == 1) for k, p in got.items())
+    with pytest.raises(ValueError):
+        out_of_fold(df.where("not same"), "fold", 3)
