@@ -150,4 +150,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -
         now = after
         if same:
             break
+    else:
+        raise RuntimeError(f"components have not converged in {rounds} rounds")
     return nodes.join(now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -19,7 +19,7 @@ def locations(xml: Column, kind: str = "url") -> Column:
     return F.xpath(xml, F.lit(f"//*[local-name()='{kind}']/*[local-name()='loc']/text()"))
 
 
-def crawl(pages: DataFrame, seeds: DataFrame, most: int = 500, depth: int = 10) -> DataFrame:
+def crawl(pages: DataFrame, seeds: DataFrame, most: int = 500) -> DataFrame:
     """(url): distinct addresses of the sitemaps reachable from the seeds, of which at most ``most`` are read.
 
     pages: (url, xml) of what was fetched; seeds: (url). Each round joins the
@@ -27,7 +27,7 @@ def crawl(pages: DataFrame, seeds: DataFrame, most: int = 500, depth: int = 10)
     """
     seen = stage(seeds.select("url").distinct().orderBy("url").limit(most), "sitemaps")
     frontier = seen
-    for _ in range(depth):
+    while True:
         nested = pages.join(frontier, "url").select(F.explode(locations(F.col("xml"), "sitemap")).alias("url")).distinct()
         left = most - seen.count()
         frontier = stage(nested.join(seen, "url", "left_anti").orderBy("url").limit(max(left, 0)), "sitemaps")

@@ -6,9 +6,10 @@ import random
 
 import pytest
 
+from kuatia.operators import pairs
 from kuatia.operators.matcher import out_of_fold
 from kuatia.plans import catalog
-from kuatia.sources import files
+from kuatia.sources import feeds, files
 
 
 def write(spark, folder, name, rows, schema):
@@ -81,3 +82,18 @@ def test_fold_without_a_model_keeps_its_rows(spark):
     assert all((p is None) == (k % 3 == 1) for k, p in got.items())
     with pytest.raises(ValueError):
         out_of_fold(df.where("not same"), "fold", 3)
+
+
+def test_crawl_follows_deep_sitemaps(spark):
+    index = [(f"m{i}", f"<s><sitemap><loc>m{i + 1}</loc></sitemap><sitemap><loc>m0</loc></sitemap></s>") for i in range(13)]
+    pages = spark.createDataFrame([*index, ("m13", "<u><url><loc>deep</loc></url></u>")], "url string, xml string")
+    seeds = spark.createDataFrame([("m0",)], "url string")
+    assert [r.url for r in feeds.crawl(pages, seeds).collect()] == ["deep"]
+    assert feeds.crawl(pages, seeds, most=13).count() == 0
+
+
+def test_unfinished_components_raise(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="converged"):
+        pairs.components(edges, rounds=1)
+    assert {r.component for r in pairs.components(edges).collect()} == {0}
