@@ -244,16 +244,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_copies(rows: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(members, links): members (article_id, class_id, size) of every article with a set, links (a, b) between classes.
+def classes(rows: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(docs, members): the signatures of rows, and (article_id, class_id, size) of every article with a set.
 
-    rows are those of lines.prepared(); class_id is the smallest article_id with
-    the same set; links hold a < b, both class ids.
+    rows are those of lines.prepared(); class_id is the smallest article_id with the same set.
     """
     docs = stage(_sets(rows, lines, False), "signatures")
     each = docs.select("article_id", "h1", "h2").dropDuplicates(["article_id"])
     same = each.groupBy("h1", "h2").agg(F.min("article_id").alias("class_id"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stage(each.join(broadcast_if_small(same, BROADCAST_ROWS), ["h1", "h2"], "left").select("article_id", F.coalesce("class_id", "article_id").alias("class_id"), F.coalesce("size", F.lit(1)).alias("size")), "members")
+    return docs, stage(each.join(broadcast_if_small(same, BROADCAST_ROWS), ["h1", "h2"], "left").select("article_id", F.coalesce("class_id", "article_id").alias("class_id"), F.coalesce("size", F.lit(1)).alias("size")), "members")
+
+
+def near_copies(rows: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(members, links): the members of classes(), links (a, b) between classes.
+
+    links hold a < b, both class ids.
+    """
+    docs, members = classes(rows, lines)
     later = members.where("article_id <> class_id").select("article_id")
     # an article's repeated rows give equal seeds, which never pair with themselves
     parts = max(1, math.ceil(docs.count() * (COLUMNS // SEGMENT) / PART_KEYS))
@@ -276,8 +283,16 @@ def expanded(members: DataFrame, links: DataFrame, full_class: int = FULL_CLASS)
     return across.unionByName(within).unionByName(stars).select(F.least("x", "y").alias("article_id_a"), F.greatest("x", "y").alias("article_id_b"))
 
 
+def _read(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    rows = stage(prepared(articles, True), "prepared")
+    return rows, stage(boilerplate(stage(line_keys(rows), "line-keys")), "boilerplate")
+
+
 def found(articles: DataFrame) -> DataFrame:
     """(article_id_a, article_id_b) of every pair of articles whose bodies are alike."""
-    rows = stage(prepared(articles, True), "prepared")
-    lines = stage(boilerplate(stage(line_keys(rows), "line-keys")), "boilerplate")
-    return expanded(*near_copies(rows, lines))
+    return expanded(*near_copies(*_read(articles)))
+
+
+def class_members(articles: DataFrame) -> DataFrame:
+    """(article_id, class_id, size): the class of every article with a set, to derive the pairs that found() leaves out of large classes."""
+    return classes(*_read(articles))[1]

@@ -28,6 +28,10 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return nearcopies.found(table(spark, d, "event_context_articles"))
 
 
+def p6_members(spark: SparkSession, d: str) -> DataFrame:
+    return nearcopies.class_members(table(spark, d, "event_context_articles"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, d, "documents"), "doc_id", "text")
 
@@ -54,5 +58,5 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split_texts(table(spark, d, "documents"), "doc_id", "text", split.profiles_of(table(spark, d, "split_limits")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p4_found, p5_found, p6_found, p7_ids, p7_round_trip, p8_mix, p8_shares, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p4_found, p5_found, p6_found, p6_members, p7_ids, p7_round_trip, p8_mix, p8_shares, p9_pieces)}
 SQL: dict[str, str] = {}
