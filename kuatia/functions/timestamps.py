@@ -8,7 +8,11 @@ interpretations are decided by Viterbi over their source's record order
 
 Fixed rules: figures have the year first or the day first; a text without a zone
 is wall-clock time of the given zone; a wall-clock time that occurs twice means
-the first; one that a change skipped is read with the offset before the change.
+the first; one that a change skipped is read with the offset before the change; a
+zone abbreviation means what ZONES says. The readings that a rule ranks second
+(the other occurrence, the offset behind the change, the abbreviation's other
+meaning) are states of the path too; each costs RULE, more than all that a few
+hours can save at both its neighbours, so that the rules hold by the path's cost.
 Results by case: null, blank and relative texts, dates without a time of day and
 impossible dates have no interpretation and give null.
 """
@@ -36,6 +40,8 @@ ZONES = {
     "mst": "-07:00", "mdt": "-06:00", "pst": "-08:00", "pdt": "-07:00", "pyt": "-04:00", "pyst": "-03:00", "art": "-03:00", "brt": "-03:00",
     "cet": "+01:00", "cest": "+02:00", "wet": "+00:00", "west": "+01:00", "bst": "+01:00", "clt": "-04:00", "clst": "-03:00", "uyt": "-03:00",
 }
+#: Second meanings of zone abbreviations.
+OTHER_ZONES = {"cst": "+08:00", "bst": "+06:00", "pyt": "-03:00"}
 #: Fixed value: the zone whose offset has been constant since this wall-clock time; older zone tables lack the change.
 FIXED_SINCE = {"America/Asuncion": ("2024-10-06 01:00:00", "-03:00")}
 
@@ -79,32 +85,71 @@ def _lookup(values: dict) -> Column:
     return F.create_map(*(F.lit(x) for pair in values.items() for x in pair))
 
 
-def _instant(parts: Column, zone: str) -> Column:
-    """Microseconds of [format, year, month, day, hour, minute, second, fraction, half, zone], null if there is no such time."""
+def _instants(read: Column, zone: str, every: bool) -> Column:
+    """ARRAY<STRUCT<format, utc_us>> of an array of [format, year, month, day, hour, minute, second, fraction, half, zone]; utc_us is null if there is no such time.
 
-    month = F.coalesce(parts[2].try_cast("int"), F.try_element_at(_lookup(MONTHS), F.translate(F.substring(parts[2], 1, 3), "áéíóúç", "aeiouc")))
-    hour = parts[4].try_cast("int")
-    hour = F.when(parts[8] == "", hour).when((hour < 1) | (hour > 12), None).when(parts[8] == "p", hour % 12 + 12).otherwise(hour % 12)
-    second = F.coalesce(parts[6].try_cast("int"), F.lit(0))
-    micros = F.substring(F.rpad(parts[7], 6, "0"), 1, 6).try_cast("int")
-    written = parts[9]
-    offset = F.regexp_replace(written, "^(?:utc|gmt)?\\s?([+-]\\d.*)$", "$1")
-    offset = F.when(offset.rlike("^[+-]\\d{1,2}$"), F.concat(F.substring(offset, 1, 1), F.lpad(F.substring(offset, 2, 2), 2, "0"), F.lit(":00"))).otherwise(F.regexp_replace(F.regexp_replace(offset, "^([+-])(\\d)(:?\\d{2})$", "$10$2$3"), "^([+-]\\d{2})(\\d{2})$", "$1:$2"))
-    fixed = F.when(offset.rlike("^[+-](?:0\\d|1[0-4]):[0-5]\\d$"), offset).otherwise(F.try_element_at(_lookup(ZONES), written))
-    region = F.when(written.contains("/"), F.array_join(F.transform(F.split(F.initcap(F.regexp_replace(written, "[/_]", "$0 ")), "(?<=[/_]) "), lambda x: x), "")).when(written == "", F.lit(zone))
+    every: also the readings that a fixed rule ranks second, their format marked
+    with SECOND. Each step binds its values once, for the next to use several times.
+    """
     named = [zone, "America/Asuncion", "Europe/Madrid", "America/New_York", "America/Sao_Paulo", "America/Buenos_Aires", "America/Argentina/Buenos_Aires", "Europe/London", "Europe/Paris", "Europe/Berlin", "Europe/Lisbon", "Europe/Rome", "America/Santiago", "America/Montevideo", "America/La_Paz", "America/Bogota", "America/Lima", "America/Mexico_City", "America/Chicago", "America/Denver", "America/Los_Angeles", "America/Caracas", "Asia/Tokyo", "Asia/Taipei", "Etc/UTC"]
-    region = F.when(region.isin(named), region)
-    seconds = (second + micros / F.lit(1000000).cast("decimal(10,0)")).cast("decimal(16,6)")
-    wall = F.try_make_timestamp(parts[1].try_cast("int"), month, parts[3].try_cast("int"), hour, parts[5].try_cast("int"), seconds, F.lit("UTC"))
-    for name, (since, constant) in FIXED_SINCE.items():
-        fixed = F.when((region == name) & (wall >= F.lit(since).cast("timestamp")), F.lit(constant)).otherwise(fixed)
-    zoned = F.coalesce(fixed, region)
-    exact = F.try_make_timestamp(parts[1].try_cast("int"), month, parts[3].try_cast("int"), hour, parts[5].try_cast("int"), seconds, zoned)
-    return F.when((second < 60) & zoned.isNotNull(), F.unix_micros(exact))
-
-
-def interpretations(text: Column, zone: str = HOME_ZONE) -> Column:
-    """ARRAY<STRUCT<format, utc_us>> of the text's valid interpretations, distinct in their instants; empty for none, also for null."""
+    utc = F.lit("UTC")
+
+    def values(parts: Column) -> Column:
+        month = F.coalesce(parts[2].try_cast("int"), F.try_element_at(_lookup(MONTHS), F.translate(F.substring(parts[2], 1, 3), "áéíóúç", "aeiouc")))
+        second = F.coalesce(parts[6].try_cast("int"), F.lit(0))
+        micros = F.substring(F.rpad(parts[7], 6, "0"), 1, 6).try_cast("int")
+        written = parts[9]
+        offset = F.regexp_replace(written, "^(?:utc|gmt)?\\s?([+-]\\d.*)$", "$1")
+        region = F.array_join(F.transform(F.split(F.initcap(F.regexp_replace(written, "[/_]", "$0 ")), "(?<=[/_]) "), lambda x: x), "")
+        return F.struct(
+            parts[0].alias("format"), parts[1].try_cast("int").alias("year"), month.alias("month"), parts[3].try_cast("int").alias("day"),
+            parts[4].try_cast("int").alias("hour"), parts[8].alias("half"), parts[5].try_cast("int").alias("minute"),
+            F.when(second < 60, (second + micros / F.lit(1000000).cast("decimal(10,0)")).cast("decimal(16,6)")).alias("seconds"), written.alias("written"),
+            F.when(written.rlike("\\d"), offset).alias("offset"), F.when(written.contains("/"), region).when(written == "", F.lit(zone)).alias("region"),
+        )
+
+    def placed(x: Column) -> Column:
+        hour = F.when(x["half"] == "", x["hour"]).when((x["hour"] < 1) | (x["hour"] > 12), None).when(x["half"] == "p", x["hour"] % 12 + 12).otherwise(x["hour"] % 12)
+        offset = x["offset"]
+        offset = F.when(offset.rlike("^[+-]\\d{1,2}$"), F.concat(F.substring(offset, 1, 1), F.lpad(F.substring(offset, 2, 2), 2, "0"), F.lit(":00"))).otherwise(F.regexp_replace(F.regexp_replace(offset, "^([+-])(\\d)(:?\\d{2})$", "$10$2$3"), "^([+-]\\d{2})(\\d{2})$", "$1:$2"))
+        return F.struct(x["format"].alias("format"), x["written"].alias("written"), F.when(x["region"].isin(named), x["region"]).alias("region"), offset.alias("offset"), F.try_make_timestamp(x["year"], x["month"], x["day"], hour, x["minute"], x["seconds"], utc).alias("wall"))
+
+    def zoned(x: Column) -> Column:
+        fixed = F.when(x["offset"].rlike("^[+-](?:0\\d|1[0-4]):[0-5]\\d$"), x["offset"]).otherwise(F.try_element_at(_lookup(ZONES), x["written"]))
+        for name, (since, constant) in FIXED_SINCE.items():
+            fixed = F.when((x["region"] == name) & (x["wall"] >= F.lit(since).cast("timestamp")), F.lit(constant)).otherwise(fixed)
+        return F.struct(x["format"].alias("format"), x["written"].alias("written"), x["wall"].alias("wall"), fixed.alias("fixed"), F.coalesce(fixed, x["region"]).alias("zone"))
+
+    def exact(x: Column) -> Column:
+        # a wall-clock time that occurs twice is the first, one that was skipped has the offset before
+        return F.struct(x["format"].alias("format"), x["written"].alias("written"), x["wall"].alias("wall"), x["fixed"].alias("fixed"), F.to_utc_timestamp(x["wall"], x["zone"]).alias("at"))
+
+    steps = F.transform(F.transform(F.transform(read, values), placed), zoned)
+    steps = F.transform(steps, exact)
+
+    def one(x: Column) -> Column:
+        return F.struct(x["format"].alias("format"), F.unix_micros(x["at"]).alias("utc_us"))
+
+    if not every:
+        return F.transform(steps, one)
+    hour = F.expr("interval 1 hour")
+
+    def second(x: Column) -> Column:
+        # by the zone's clock an hour on: the same figures again (they occur twice), or not those written (they were skipped)
+        local, again = F.from_utc_timestamp(x["at"], F.lit(zone)), F.from_utc_timestamp(x["at"] + hour, F.lit(zone))
+        clock = F.when(again == local, x["at"] + hour).when(local == x["wall"] + hour, x["at"] - hour)
+        meant = F.try_element_at(_lookup(OTHER_ZONES), x["written"])
+        other = F.when((x["written"] == "") & x["fixed"].isNull(), clock).when(meant.isNotNull(), F.to_utc_timestamp(x["wall"], meant))
+        return F.struct(F.concat(x["format"], F.lit(SECOND)).alias("format"), F.unix_micros(other).alias("utc_us"))
+
+    return F.concat(F.transform(steps, one), F.transform(steps, second))
+
+
+def interpretations(text: Column, zone: str = HOME_ZONE, every: bool = False) -> Column:
+    """ARRAY<STRUCT<format, utc_us>> of the text's valid interpretations, distinct in their instants; empty for none, also for null.
+
+    every: with the readings that the fixed rules rank second.
+    """
     t = plain(text)
     low, high = EPOCH_YEARS
     span = [int((y - 1970) * 365.2425 * 86400) for y in (low, high)]
@@ -113,23 +158,29 @@ def interpretations(text: Column, zone: str = HOME_ZONE) -> Column:
     numbers = F.array(*(F.struct(F.lit(f"epoch-{n}").alias("format"), e.try_cast("long").alias("utc_us")) for n, e in zip(("s", "ms", "us", "ns"), epochs)))
     numbers = F.filter(numbers, lambda x: x["utc_us"].between(span[0] * 10**6, span[1] * 10**6))
     written = F.filter(F.array(*(_rewritten(t, name) for name in FORMATS)), lambda x: x.isNotNull())
-    read = F.transform(F.transform(written, lambda x: F.split(x, "\\|", -1)), lambda p: F.struct(p[0].alias("format"), _instant(p, zone).alias("utc_us")))
+    read = _instants(F.transform(written, lambda x: F.split(x, "\\|", -1)), zone, every)
     all_ = F.when(t.rlike(r"^-?\d{9,19}(?:\.\d{1,6})?$"), numbers).when(t.rlike(r"\d{1,2}:?\d{2}"), F.filter(read, lambda x: x["utc_us"].isNotNull())).otherwise(F.array().cast(f"array<{INTERPRETATION}>"))
     return F.coalesce(F.filter(all_, lambda x, i: ~F.exists(F.slice(all_, 1, F.greatest(i, F.lit(0))), lambda y: y["utc_us"] == x["utc_us"])), F.array().cast(f"array<{INTERPRETATION}>"))
 
 
 #: What a path pays for a change of format, and for a jump back in time: a fixed part and a part by its length in days.
 SWITCH, BACK, BACK_PER_DAY = 1.0, 0.5, 0.1
+#: What a reading costs that a fixed rule ranks second, and how its format is marked.
+RULE, SECOND = 8.0, "/second"
+
+
+def _own(state: tuple[str, int]) -> float:
+    return RULE if state[0].endswith(SECOND) else 0.0
 
 
 def _cost(a: tuple[str, int], b: tuple[str, int]) -> float:
     back = (a[1] - b[1]) / 86_400_000_000
-    return SWITCH * (a[0] != b[0]) + (BACK + BACK_PER_DAY * back if back > 0 else 0.0)
+    return SWITCH * (a[0].removesuffix(SECOND) != b[0].removesuffix(SECOND)) + (BACK + BACK_PER_DAY * back if back > 0 else 0.0) + _own(b)
 
 
 def viterbi(states: list[list[tuple[str, int]]]) -> list[int]:
     """The cheapest choice of one state a step; among equals the smallest index, latest step first."""
-    best, back = [0.0] * len(states[0]), []
+    best, back = [_own(state) for state in states[0]], []
     for before, now in zip(states, states[1:]):
         costs = [[best[i] + _cost(a, b) for i, a in enumerate(before)] for b in now]
         back.append([c.index(min(c)) for c in costs])
@@ -201,5 +252,5 @@ def instants(df: DataFrame, text: str, source: str, order: list[str], out: str,
     from kuatia.session import stage
 
     # read each text once, whether or not any has several interpretations; pass narrow rows
-    with_all = stage(df.withColumn("_interpretations", interpretations(F.col(text), zone)), "interpretations")
+    with_all = stage(df.withColumn("_interpretations", interpretations(F.col(text), zone, every=True)), "interpretations")
     return choose(with_all, source, order, "_interpretations", out).drop("_interpretations")
