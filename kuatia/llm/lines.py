@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kuatia.llm.charforms import clean_batch, duck
-from kuatia.session import broadcast_if_small, stage
+from kuatia.session import broadcast_if_small, is_small, stage
 
 MIN_ARTICLES = 5
 MIN_SHARE = 0.05
@@ -111,41 +111,49 @@ def _components(graph):
     return nodes.assign(key=nodes["a"], block=[find(k) for k in nodes["a"]], articles=nodes["articles"].astype("int64"))[["source", "key", "articles", "block"]]
 
 
+def _marked(lines: DataFrame) -> DataFrame:
+    """(s, k, block) of the nodes: broadcast where they are proven few, else joined by shuffle."""
+    return broadcast_if_small(lines.select(F.col("source").alias("s"), F.col("key").alias("k"), "block"), BROADCAST_NODES)
+
+
 def occurrences(keyed: DataFrame, lines: DataFrame) -> DataFrame:
-    """(article_id, line_no) of every occurrence of the given (source, key) lines."""
-    placed = keyed.select("article_id", "source", F.posexplode("keys").alias("i", "key")).where(F.col("key").isNotNull())
-    wanted = broadcast_if_small(lines.select(F.col("source").alias("s"), F.col("key").alias("k")), BROADCAST_NODES)
-    return placed.join(wanted, F.col("source").eqNullSafe(F.col("s")) & (F.col("key") == F.col("k")), "left_semi").select("article_id", (F.col("i") + 1).cast("int").alias("line_no"))
+    """(article_id, block, first_line, last_line, lines): every occurrence of a block in an article.
 
+    An occurrence is a run of lines of one block that follow one another (over
+    blank lines) in the body; a block's line that stands alone is one too. It ends
+    where a line of no block or of another block stands between.
+    """
+    text = F.filter(F.transform("keys", lambda k, i: F.struct((i + 1).alias("line_no"), k.alias("key"))), lambda x: x["key"].isNotNull())
+    placed = keyed.select("article_id", "source", F.posexplode(text).alias("place", "x")).select("article_id", "source", "place", "x.line_no", "x.key")
+    found = placed.join(_marked(lines), F.col("source").eqNullSafe(F.col("s")) & (F.col("key") == F.col("k")))
+    # by article: its marked lines in order, of which there are at most its lines
+    rows = found.groupBy("article_id").agg(F.sort_array(F.collect_list(F.struct("place", "line_no", "block"))).alias("m"))
+    begins = F.filter(F.sequence(F.lit(1), F.size("m")), lambda i: (i == 1) | (F.element_at("m", i)["block"] != F.element_at("m", F.greatest(i - 1, F.lit(1)))["block"]) | (F.element_at("m", i)["place"] != F.element_at("m", F.greatest(i - 1, F.lit(1)))["place"] + 1))
+    cut = rows.select("article_id", "m", begins.alias("b")).select("article_id", F.explode(F.transform("b", lambda x, i: F.slice("m", x, F.coalesce(F.try_element_at("b", i + 2), F.size("m") + 1) - x))).alias("run"))
+    return cut.select("article_id", F.col("run")[0]["block"].alias("block"), F.col("run")[0]["line_no"].alias("first_line"), F.element_at("run", -1)["line_no"].alias("last_line"), F.transform("run", lambda x: x["line_no"]).alias("lines"))
 
-def drop_lists(lines: DataFrame) -> DataFrame:
-    """(source, drop): the boilerplate keys of each source as one bounded array."""
-    return lines.groupBy("source").agg(F.collect_set("key").alias("drop"))
 
+def with_kept(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """prepared() rows with ``keep`` instead of their keys: for each line, whether it stays once its source's blocks are gone.
 
-def with_drop_list(articles: DataFrame, lines: DataFrame) -> DataFrame:
-    """articles with the array ``drop`` of their source's boilerplate keys (null where it has none)."""
-    lists = broadcast_if_small(drop_lists(lines).withColumnRenamed("source", "s"), BROADCAST_NODES // 10)
-    return articles.join(lists, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    A source's blocks meet its rows as one array; of it only what a body has
+    itself is looked at further, so that no row carries its source's array on.
+    """
+    lists = lines.groupBy("source").agg(F.collect_set("key").alias("drop")).withColumnRenamed("source", "s")
+    lists = F.broadcast(lists) if is_small(lines, BROADCAST_NODES) else lists
+    met = rows.join(lists, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("drop", F.array_intersect("keys", "drop"))
+    keep = F.transform("keys", lambda k: F.coalesce(~F.array_contains("drop", k), F.lit(True)))
+    return met.withColumn("keep", keep).drop("s", "drop", "keys")
 
 
 def kept_bodies(batch: pa.RecordBatch) -> pa.Array:
-    """The bodies of a batch of (keys, body, drop) without the lines whose keys are in ``drop``."""
-    keys, lines = batch["keys"], pc.split_pattern(batch["body"], "\n")
-    flat, offsets = keys.flatten(), np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(keys), 0).to_numpy())))
-    numbers = pc.fill_null(flat, -1).to_numpy()
-    keep = np.ones(len(numbers), bool)
-    owner = np.repeat(np.arange(len(keys)), np.diff(offsets))
-    # rows of one source share one list
-    sources = pc.dictionary_encode(pc.fill_null(batch["source"], "")).indices.to_numpy()
-    for source in np.unique(sources):
-        rows = np.flatnonzero(sources == source)
-        drop = batch["drop"][int(rows[0])].as_py()
-        if drop:
-            here = sources[owner] == source
-            keep[here] = ~np.isin(numbers[here], drop)
-    counts = np.bincount(owner[keep], minlength=len(keys))
-    kept = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), lines.flatten().filter(pa.array(keep)))
+    """The bodies of a batch of (keep, body) without the lines that are not kept."""
+    keep = batch["keep"]
+    lines, keep = pc.split_pattern(batch["body"], "\n"), keep.combine_chunks() if isinstance(keep, pa.ChunkedArray) else keep
+    mask = keep.flatten().to_numpy(zero_copy_only=False)
+    many = pc.fill_null(pc.list_value_length(keep), 0).to_numpy()
+    counts = np.bincount(np.repeat(np.arange(len(keep)), many)[mask], minlength=len(keep))
+    kept = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), lines.flatten().filter(pa.array(mask)))
     return pc.if_else(batch["body"].is_null(), pa.scalar(None, pa.string()), pc.binary_join(kept, "\n"))
 
 
@@ -157,10 +165,21 @@ def without_boilerplate(rows: DataFrame, lines: DataFrame) -> DataFrame:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([batch["article_id"], batch["source"], kept_bodies(batch)], ["article_id", "source", "body"])
 
-    return with_drop_list(rows, lines).mapInArrow(run, "article_id long, source string, body string")
+    return with_kept(rows, lines).mapInArrow(run, "article_id long, source string, body string")
+
+
+def blocks(articles: DataFrame) -> DataFrame:
+    """(source, block, lines, articles, occurrences, longest): each block with its lines, the articles it is in, and how often and how long it occurs."""
+    keyed = stage(line_keys(prepared(articles, False)), "line-keys")
+    lines = stage(boilerplate(keyed), "boilerplate")
+    sizes = lines.groupBy("source", "block").agg(F.count(F.lit(1)).alias("lines"))
+    # a block's name is one of its lines' keys, and sources may share it: count by source
+    of = occurrences(keyed, lines).join(keyed.select("article_id", "source"), "article_id")
+    used = of.groupBy(F.col("source").alias("s"), F.col("block").alias("b")).agg(F.countDistinct("article_id").alias("articles"), F.count(F.lit(1)).alias("occurrences"), F.max(F.size("lines")).alias("longest"))
+    return sizes.join(used, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b")
 
 
 def found(articles: DataFrame) -> DataFrame:
-    """(article_id, line_no) of every excessive line."""
+    """(article_id, line_no) of every excessive line: the lines of all occurrences of blocks."""
     keyed = stage(line_keys(prepared(articles, False)), "line-keys")
-    return occurrences(keyed, stage(boilerplate(keyed), "boilerplate"))
+    return occurrences(keyed, stage(boilerplate(keyed), "boilerplate")).select("article_id", F.explode("lines").alias("line_no"))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kuatia.llm.charforms import duck
-from kuatia.llm.lines import boilerplate, kept_bodies, line_keys, prepared, with_drop_list
+from kuatia.llm.lines import boilerplate, kept_bodies, line_keys, prepared, with_kept
 from kuatia.session import broadcast_if_small, stage
 
 WORDS = 3
@@ -128,7 +128,7 @@ def _sets(rows: DataFrame, lines: DataFrame, with_set: bool) -> DataFrame:
                     columns.append(pa.array([_planes(h[a:b]) for a, b in zip(cut[:-1], cut[1:])], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
 
-    return with_drop_list(rows, lines).mapInArrow(run, schema)
+    return with_kept(rows, lines).mapInArrow(run, schema)
 
 
 def _planes(x: np.ndarray) -> bytes:
