@@ -142,7 +142,7 @@ def _instants(read: Column, zone: str, every: bool) -> Column:
         other = F.when((x["written"] == "") & x["fixed"].isNull(), clock).when(meant.isNotNull(), F.to_utc_timestamp(x["wall"], meant))
         return F.struct(F.concat(x["format"], F.lit(SECOND)).alias("format"), F.unix_micros(other).alias("utc_us"))
 
-    return F.concat(F.transform(steps, one), F.transform(steps, second))
+    return F.flatten(F.transform(steps, lambda x: F.array(one(x), second(x))))
 
 
 def interpretations(text: Column, zone: str = HOME_ZONE, every: bool = False) -> Column:
@@ -160,7 +160,9 @@ def interpretations(text: Column, zone: str = HOME_ZONE, every: bool = False) ->
     written = F.filter(F.array(*(_rewritten(t, name) for name in FORMATS)), lambda x: x.isNotNull())
     read = _instants(F.transform(written, lambda x: F.split(x, "\\|", -1)), zone, every)
     all_ = F.when(t.rlike(r"^-?\d{9,19}(?:\.\d{1,6})?$"), numbers).when(t.rlike(r"\d{1,2}:?\d{2}"), F.filter(read, lambda x: x["utc_us"].isNotNull())).otherwise(F.array().cast(f"array<{INTERPRETATION}>"))
-    return F.coalesce(F.filter(all_, lambda x, i: ~F.exists(F.slice(all_, 1, F.greatest(i, F.lit(0))), lambda y: y["utc_us"] == x["utc_us"])), F.array().cast(f"array<{INTERPRETATION}>"))
+    # bound by an array of one, else it would be taken anew for each element
+    distinct = F.transform(F.array(all_), lambda every_one: F.filter(every_one, lambda x, i: ~F.exists(F.slice(every_one, 1, F.greatest(i, F.lit(0))), lambda y: y["utc_us"] == x["utc_us"])))[0]
+    return F.coalesce(distinct, F.array().cast(f"array<{INTERPRETATION}>"))
 
 
 #: What a path pays for a change of format, and for a jump back in time: a fixed part and a part by its length in days.
