@@ -41,6 +41,8 @@ COLUMNS = 288
 #: Columns behind a segment that take part in the chain test, in bits that fit one long.
 TAIL, TAIL_BITS = 12, 5
 FULL_CLASS = 1000
+#: Equal segments that are compared where they meet; longer runs are cut into blocks of this size.
+RUN_ROWS = 4096
 #: Keys in a part of the segment index.
 PART_KEYS = 700_000
 BROADCAST_ROWS = 50_000
@@ -181,25 +183,32 @@ def chain_holds(a: np.ndarray, b: np.ndarray, per_segment: float) -> np.ndarray:
     return ok
 
 
-def _meetings(seeds: DataFrame, parts: int, per_segment: float) -> DataFrame:
+def _chained(tail: np.ndarray, ids: np.ndarray, left: np.ndarray, right: np.ndarray, per_segment: float) -> Iterator[pa.RecordBatch]:
+    """(a, b), a < b, of the given entries' pairs that pass the chain test."""
+    a, b = ids[left], ids[right]
+    ok = chain_holds(tail[left], tail[right], per_segment) & (a != b)
+    if ok.any():
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[ok]), pa.array(np.maximum(a, b)[ok])], ["a", "b"])
+
+
+def _meetings(seeds: DataFrame, parts: int, per_segment: float, run_rows: int = RUN_ROWS) -> DataFrame:
     """(a, b), a < b: representatives that meet in a segment and pass the chain test there.
 
     A part of the index has about PART_KEYS keys of 20 bytes, whatever the size of
-    the collection; only the pairs that pass are emitted.
+    the collection; only the pairs that pass are emitted. A run of more than
+    ``run_rows`` equal segments (a family of copies that differ) isn't compared in
+    the part that finds it: it is cut into blocks of that size, and each pair of
+    blocks is compared by a group of its own.
     """
 
-    def flush(tail: np.ndarray, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    def within(tail: np.ndarray, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
         lengths = ends - starts
         for step in range(1, int(lengths.max(initial=1))):
             # all pairs at this distance within their runs, in one vector operation over all runs
             live = lengths > step
             many = lengths[live] - step
-            total = int(many.sum())
-            left = np.repeat(starts[live] - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(total)
-            a, b = ids[left], ids[left + step]
-            ok = chain_holds(tail[left], tail[left + step], per_segment) & (a != b)
-            if ok.any():
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[ok]), pa.array(np.maximum(a, b)[ok])], ["a", "b"])
+            left = np.repeat(starts[live] - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(int(many.sum()))
+            yield from _chained(tail, ids, left, left + step, per_segment)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -214,10 +223,35 @@ def _meetings(seeds: DataFrame, parts: int, per_segment: float) -> DataFrame:
             edges = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1], [True])))
             starts, ends = edges[:-1], edges[1:]
             many = ends - starts > 1
-            if many.any():
-                yield from flush(_unplanes(tails, np.int64)[order], _unplanes(ids, np.int64)[order], starts[many], ends[many])
-
-    return seeds.repartitionById(parts, F.col("part")).mapInArrow(run, "a long, b long").distinct()
+            if not many.any():
+                continue
+            tail, id_, starts, ends = _unplanes(tails, np.int64)[order], _unplanes(ids, np.int64)[order], starts[many], ends[many]
+            hot = ends - starts > run_rows
+            for pairs in within(tail, id_, starts[~hot], ends[~hot]):
+                none = pa.nulls(pairs.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([*pairs.columns, none, none, none, *[pa.nulls(pairs.num_rows, pa.binary())] * 2], names)
+            for a, b in zip(starts[hot], ends[hot]):
+                cuts = np.linspace(a, b, -(-(b - a) // run_rows) + 1).astype(np.int64)
+                for i, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])):
+                    row = [None, None, int(segment[a]), i, len(cuts) - 1]
+                    yield pa.RecordBatch.from_arrays([*(pa.array([v], pa.int64()) for v in row), pa.array([tail[x:y].tobytes()], pa.binary()), pa.array([id_[x:y].tobytes()], pa.binary())], names)
+
+    def across(table: pa.Table) -> pa.Table:
+        # one block against itself, or two blocks of a run
+        blocks = [tuple(np.frombuffer(table[c][i].as_py(), np.int64) for c in ("tails", "ids")) for i in range(table.num_rows)]
+        (tail, ids), size = (np.concatenate([b[i] for b in blocks]) for i in (0, 1)), len(blocks[0][0])
+        out = []
+        for i in range(size if len(blocks) > 1 else size - 1):
+            right = np.arange(size, len(ids)) if len(blocks) > 1 else np.arange(i + 1, size)
+            out.extend(_chained(tail, ids, np.full(len(right), i), right, per_segment))
+        return pa.Table.from_batches(out, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    names = ["a", "b", "run", "block", "blocks", "tails", "ids"]
+    met = stage(seeds.repartitionById(parts, F.col("part")).mapInArrow(run, "a long, b long, run long, block long, blocks long, tails binary, ids binary"), "meetings")
+    hot = met.where("run is not null")
+    partners = hot.select("run", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"), "tails", "ids")
+    split = partners.groupBy("run", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).applyInArrow(across, "a long, b long")
+    return met.where("run is null").select("a", "b").unionByName(split).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -251,7 +285,7 @@ def classes(rows: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     docs = stage(_sets(rows, lines, False), "signatures")
     each = docs.select("article_id", "h1", "h2").dropDuplicates(["article_id"])
-    same = each.groupBy("h1", "h2").agg(F.min("article_id").alias("class_id"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    same = stage(each.groupBy("h1", "h2").agg(F.min("article_id").alias("class_id"), F.count(F.lit(1)).alias("size")).where("size > 1"), "same-sets")
     return docs, stage(each.join(broadcast_if_small(same, BROADCAST_ROWS), ["h1", "h2"], "left").select("article_id", F.coalesce("class_id", "article_id").alias("class_id"), F.coalesce("size", F.lit(1)).alias("size")), "members")
 
 
@@ -288,9 +322,10 @@ def _read(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, stage(boilerplate(stage(line_keys(rows), "line-keys")), "boilerplate")
 
 
-def found(articles: DataFrame) -> DataFrame:
-    """(article_id_a, article_id_b) of every pair of articles whose bodies are alike."""
-    return expanded(*near_copies(*_read(articles)))
+def found(articles: DataFrame, full_class: int | None = None) -> DataFrame:
+    """(article_id_a, article_id_b) of every pair of articles whose bodies are alike; classes above ``full_class`` (FULL_CLASS if not given) are stars."""
+    members, links = near_copies(*_read(articles))
+    return expanded(members, links) if full_class is None else expanded(members, links, full_class)
 
 
 def class_members(articles: DataFrame) -> DataFrame:

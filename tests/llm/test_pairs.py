@@ -89,3 +89,25 @@ def test_neighbour_ties_and_ranks(spark):
     got = {(r.id, r.neighbour) for r in neighbours.nearest(df).collect()}
     assert got == {(i, j) for i in range(14) for j in [k for k in range(14) if k != i][:10]}
     assert neighbours.found(df.limit(0)).count() == 0
+
+
+def test_hot_runs_are_cut_into_blocks(spark):
+    # a family of copies that differ: each segment's run is far longer than the blocks
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(900)]
+    base = rng.choices(words, k=80)
+    rows = [(i, "s", " ".join(w if rng.random() >= 0.02 else rng.choice(words) for w in base)) for i in range(90)]
+    df = spark.createDataFrame(rows, "article_id long, source string, body string")
+    docs = nearcopies._sets(*_prepared(df), False).cache()
+    seeds = nearcopies._seeds(docs.selectExpr("article_id as id", "signature"), 3)
+    per_segment = nearcopies.budget() / (nearcopies.COLUMNS // nearcopies.SEGMENT)
+    whole = {tuple(r) for r in nearcopies._meetings(seeds, 3, per_segment).collect()}
+    cut = nearcopies._meetings(seeds, 3, per_segment, run_rows=7).collect()
+    assert whole and len(cut) == len(set(map(tuple, cut))) and {tuple(r) for r in cut} == whole
+
+
+def _prepared(df):
+    from kuatia.llm.lines import boilerplate, line_keys, prepared
+
+    rows = prepared(df, True).cache()
+    return rows, boilerplate(line_keys(rows))
