@@ -254,28 +254,43 @@ def _meetings(seeds: DataFrame, parts: int, per_segment: float, run_rows: int =
     return met.where("run is null").select("a", "b").unionByName(split).distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs within the Hamming budget whose sets have the Jaccard similarity, exactly."""
-    most = budget(similarity)
+def _paired(pairs: DataFrame, rows: DataFrame, column: str, test) -> DataFrame:
+    """The pairs (a, b) that ``test`` keeps, a function of a batch with both articles' ``column`` to the places of its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, a, b = [], batch["shingles_a"], batch["shingles_b"]
-            if not batch.num_rows:
-                continue
-            x = np.frombuffer(b"".join(batch["signature_a"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            y = np.frombuffer(b"".join(batch["signature_b"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            near = (x != y).sum(axis=1) <= most
-            for i in np.flatnonzero(near):
-                p, q = _unplanes([a[i].as_py()], np.uint64), _unplanes([b[i].as_py()], np.uint64)
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                if common >= similarity * (len(p) + len(q) - common):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([batch["a"].take(pa.array(keep, pa.int64())), batch["b"].take(pa.array(keep, pa.int64()))], ["a", "b"])
+            if batch.num_rows:
+                keep = pa.array(test(batch["x"], batch["y"]), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch["a"].take(keep), batch["b"].take(keep)], ["a", "b"])
+
+    one, two = rows.select(F.col("article_id").alias("a"), F.col(column).alias("x")), rows.select(F.col("article_id").alias("b"), F.col(column).alias("y"))
+    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
+
+
+def _within_budget(pairs: DataFrame, signatures_: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose signatures differ in no more columns than the budget."""
+    most = budget(similarity)
+
+    def near(x, y) -> np.ndarray:
+        x, y = (np.frombuffer(b"".join(z.to_pylist()), np.uint8).reshape(len(z), -1) for z in (x, y))
+        return np.flatnonzero((x != y).sum(axis=1) <= most)
+
+    return _paired(pairs, signatures_, "signature", near)
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets have the Jaccard similarity, exactly."""
+
+    def alike(x, y) -> list[int]:
+        keep = []
+        for i, (a, b) in enumerate(zip(x.to_pylist(), y.to_pylist())):
+            p, q = _unplanes([a], np.uint64), _unplanes([b], np.uint64)
+            common = len(np.intersect1d(p, q, assume_unique=True))
+            if common >= similarity * (len(p) + len(q) - common):
+                keep.append(i)
+        return keep
 
-    one = sets.select(F.col("article_id").alias("a"), F.col("signature").alias("signature_a"), F.col("shingles").alias("shingles_a"))
-    two = sets.select(F.col("article_id").alias("b"), F.col("signature").alias("signature_b"), F.col("shingles").alias("shingles_b"))
-    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long").distinct()
+    return _paired(pairs, sets, "shingles", alike).distinct()
 
 
 def classes(rows: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -300,9 +315,18 @@ def near_copies(rows: DataFrame, lines: DataFrame, similarity: float = SIMILARIT
     parts = max(1, math.ceil(docs.count() * (COLUMNS // SEGMENT) / PART_KEYS))
     seeds = _seeds(docs.join(broadcast_if_small(later, BROADCAST_ROWS), "article_id", "left_anti").select(F.col("article_id").alias("id"), "signature"), parts)
     candidates = stage(_meetings(seeds, parts, budget(similarity) / (COLUMNS // SEGMENT)), "candidates")
-    met = stage(candidates.select(F.explode(F.array("a", "b")).alias("article_id")).distinct(), "candidate-ids")
-    sets = stage(_sets(rows.join(broadcast_if_small(met, BROADCAST_ROWS), "article_id", "left_semi"), lines, True), "candidate-sets")
-    return members, _verified(candidates, sets, similarity)
+    met = stage(_ids(candidates), "candidate-ids")
+    own = docs.join(broadcast_if_small(met, BROADCAST_ROWS), "article_id", "left_semi").select("article_id", "signature").dropDuplicates(["article_id"])
+    near = stage(_within_budget(candidates, own, similarity), "near")
+    # whole sets are read for what passes the Hamming check only
+    met = stage(_ids(near), "near-ids")
+    sets = stage(_sets(rows.join(broadcast_if_small(met, BROADCAST_ROWS), "article_id", "left_semi"), lines, True).select("article_id", "shingles"), "near-sets")
+    return members, _alike(near, sets, similarity)
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    """(article_id): the articles of pairs (a, b)."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("article_id")).distinct()
 
 
 def expanded(members: DataFrame, links: DataFrame, full_class: int = FULL_CLASS) -> DataFrame:
