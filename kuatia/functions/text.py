@@ -101,3 +101,26 @@ def entities(text: Column) -> Column:
 def article_hash(author: Column, title: Column, body: Column) -> Column:
     """SHA-256 of the compact JSON of author, body and title, keys in order, nulls kept."""
     return F.sha2(F.to_json(F.struct(author.alias("author"), body.alias("body"), title.alias("title")), {"ignoreNullFields": "false"}), 256)
+
+
+def embedding_text_within(title: Column, body: Column, budget: int) -> Column:
+    """The text of an embedding within a budget of words: the title's part whole, then as many of the body's words as are left."""
+    head = F.concat(F.lit("Título: "), F.coalesce(title, F.lit("")), F.lit("\n\nArtículo:\n"))
+    used = F.size(F.filter(F.split(F.concat(F.lit("Título: "), F.coalesce(title, F.lit("")), F.lit(" Artículo:")), r"[\s\p{Z}]+"), lambda w: w != ""))
+    words = F.split(F.trim(F.regexp_replace(F.coalesce(body, F.lit("")), r"[\s\p{Z}]+", " ")), " ")
+    return F.concat(head, F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(0), F.lit(budget) - used)), " "))
+
+
+def best_mentions(rows: DataFrame) -> DataFrame:
+    """(article_id, norm, kind, name, confidence): of an article's mentions of one normal form and kind, the most confident; ties go to the greater spelling.
+
+    rows: (article_id, name, norm, kind, confidence), a recogniser's output.
+    """
+    best = F.max_by(F.struct("name", "confidence"), F.struct("confidence", "name"))
+    return rows.groupBy("article_id", "norm", "kind").agg(best.alias("b")).select("article_id", "norm", "kind", "b.confidence", "b.name")
+
+
+@F.pandas_udf(T.StringType())
+def entity_form_plain(text: pd.Series) -> pd.Series:
+    """As entity_form, without the rule on white space before punctuation."""
+    return text.str.normalize("NFKC").str.lower().str.replace(r"\s+", " ", regex=True).str.strip()

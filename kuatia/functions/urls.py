@@ -45,7 +45,10 @@ def section_of(url: Column, place: int = 1) -> Column:
 
 def date_of(url: Column, first: int = 1) -> Column:
     """The date of year, month and day at that place of the path; null if they are none."""
-    parts = path_parts(url)
+    return _date(path_parts(url), first)
+
+
+def _date(parts: Column, first: int) -> Column:
     text = F.concat_ws("-", *(F.try_element_at(parts, F.lit(first + i)) for i in range(3)))
     return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(text, "yyyy-M-d"))
 
@@ -95,6 +98,10 @@ class Shape:
     ending: str | None = None
     excluded_first: tuple[str, ...] = field(default=())
     excluded_slug: tuple[str, ...] = field(default=())
+    no_dot: bool = False
+    slug_at: int = -1  # where the slug is, from the end
+    numbered_page: bool = False  # the last part is a number with the ending .html
+    numbered_first: bool = False  # the first part is a number
 
 
 #: The recurring shapes of news sites.
@@ -110,19 +117,28 @@ SHAPES = {
 
 def is_article_url(url: Column, shape: Shape) -> Column:
     """Whether the address has the shape; false for null."""
-    parts, host = path_parts(url), host_of(url)
+    fits = path_fits(path_parts(url), shape)
+    return F.coalesce(host_of(url).isin(list(shape.hosts)), F.lit(False)) & fits if shape.hosts else fits
+
+
+def path_fits(parts: Column, shape: Shape) -> Column:
+    """Whether a path of these parts has the shape, whatever the host; false for null."""
     n = F.size(parts)
-    slug = F.coalesce(F.try_element_at(parts, F.lit(-1)), F.lit(""))
+    slug = F.coalesce(F.try_element_at(parts, F.lit(shape.slug_at)), F.lit(""))
     stem = F.regexp_replace(slug, r"\.html?$", "") if shape.ending else slug
     tests = [n.between(shape.min_parts, shape.max_parts), F.length(stem) >= shape.min_slug, ~F.lower(slug).rlike(FILES)]
-    if shape.hosts:
-        tests.append(host.isin(list(shape.hosts)))
+    if shape.no_dot:
+        tests.append(~slug.contains("."))
+    if shape.numbered_page:
+        tests.append(F.try_element_at(parts, F.lit(-1)).rlike(r"^\d+\.html$"))
+    if shape.numbered_first:
+        tests.append(F.try_element_at(parts, F.lit(1)).rlike(r"^\d+$"))
     tests += [F.try_element_at(parts, F.lit(i + 1)) == x for i, x in enumerate(shape.fixed)]
     if shape.first_in:
         tests.append(F.try_element_at(parts, F.lit(1)).isin(list(shape.first_in)))
     if shape.dated_at is not None:
         if shape.calendar:
-            tests.append(date_of(url, shape.dated_at).isNotNull())
+            tests.append(_date(parts, shape.dated_at).isNotNull())
         else:
             year, month, day = (F.try_element_at(parts, F.lit(shape.dated_at + i)).try_cast("int") for i in range(3))
             tests.append(year.between(2000, 2100) & month.between(1, 12) & day.between(1, 31))

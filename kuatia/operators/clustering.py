@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ def choose(summaries: DataFrame, sizes: DataFrame, mode: str = "baseline") -> Da
     return fit.withColumn("place", F.row_number().over(Window.partitionBy("target").orderBy(*ranking(mode)))).where("place = 1").drop("place")
 
 
-def assign(articles: DataFrame, scored: DataFrame, mode: str = "baseline") -> DataFrame:
+def assign(articles: DataFrame, scored: DataFrame, mode: str = "baseline", known: DataFrame | None = None, floor: str | None = None) -> DataFrame:
     """(article_id, event): each article, in order of (time, id), joins the best acceptable event so far or founds its own.
 
     articles: (article_id, time, v), scored: (target, candidate, probability,
@@ -55,11 +57,27 @@ def assign(articles: DataFrame, scored: DataFrame, mode: str = "baseline") -> Da
     order is kept. An event is named by its first article. Articles without
     candidates found their own events without entering a group. The vectors travel
     only in the modes that compare with an event's seed or centroid.
+
+    known: (article_id, event) of articles that have their event already; they keep
+    it, and it counts with all its known articles from the start. The result holds
+    the others only. A late article, earlier than known ones, has only those before
+    it as candidates; it may join an event and so move its beginning back. floor: a
+    time; articles before it that aren't known get no event and are no candidates.
     """
-    parts = components(scored, "target", "candidate").withColumnsRenamed({"node": "article_id"})
+    if floor is not None:
+        live = articles.where(F.col("time") >= F.lit(floor).cast("timestamp"))
+        articles = live if known is None else live.unionByName(articles.join(known.select("article_id"), "article_id", "left_semi").where(F.col("time") < F.lit(floor).cast("timestamp")))
+        for side in ("target", "candidate"):
+            scored = scored.join(articles.select(F.col("article_id").alias(side)), side, "left_semi")
+    links = scored.select("target", "candidate")
+    if known is not None:
+        # the articles of one known event belong together, whatever their pairs say
+        links = links.unionByName(known.groupBy("event").agg(F.min("article_id").alias("candidate")).join(known, "event").select(F.col("article_id").alias("target"), "candidate"))
+    parts = components(links, "target", "candidate").withColumnsRenamed({"node": "article_id"})
     coherent = mode in ("quality_seed", "quality_centroid")
     times = articles.select("article_id", F.unix_micros(F.col("time").cast("timestamp")).alias("t"), *(["v"] if coherent else []))
     nodes = times.join(parts, "article_id")
+    nodes = nodes.withColumn("known", F.lit(None).cast("long")) if known is None else nodes.join(known.select("article_id", F.col("event").alias("known")), "article_id", "left")
     pairs = scored.join(parts.withColumnsRenamed({"article_id": "target", "component": "part"}), "target").select("part", "target", "candidate", "probability", "similarity")
 
     def run(nodes: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
@@ -69,7 +87,19 @@ def assign(articles: DataFrame, scored: DataFrame, mode: str = "baseline") -> Da
         first: dict[int, int] = {}
         seed: dict[int, np.ndarray] = {}
         total: dict[int, np.ndarray] = {}
-        for row in nodes.sort_values(["t", "article_id"]).itertuples():
+        nodes = nodes.sort_values(["t", "article_id"])
+        for row in nodes[nodes["known"].notna()].itertuples():
+            event = int(row.known)
+            of[row.article_id] = event
+            if event not in size:
+                first[event], size[event] = row.t, 0
+            size[event] += 1
+            if coherent:
+                v = np.asarray(row.v, float)
+                seed.setdefault(event, v)
+                total[event] = total.get(event, np.zeros_like(v)) + v
+        new = nodes[nodes["known"].isna()]
+        for row in new.itertuples():
             v = np.asarray(row.v, float) if coherent else None
             groups: dict[int, list[float]] = {}
             if row.article_id in by:
@@ -99,26 +129,81 @@ def assign(articles: DataFrame, scored: DataFrame, mode: str = "baseline") -> Da
                 if coherent:
                     seed[event], total[event] = v, np.zeros_like(v)
             of[row.article_id] = event
+            first[event] = min(first[event], row.t)
             size[event] += 1
             if coherent:
                 total[event] = total[event] + v
-        return pd.DataFrame({"article_id": list(of), "event": list(of.values())}, dtype="int64")
+        ids = new["article_id"].tolist()
+        return pd.DataFrame({"article_id": ids, "event": [of[i] for i in ids]}, dtype="int64")
 
     joined = nodes.groupBy("component").cogroup(pairs.groupBy("part")).applyInPandas(run, "article_id long, event long")
+    # a known article is always in a part, by its event's links
     alone = articles.select("article_id").join(parts, "article_id", "left_anti").select("article_id", F.col("article_id").alias("event"))
     return joined.unionByName(alone)
 
 
+def assign_in_batches(batches: list[DataFrame], articles: DataFrame, scored: DataFrame, mode: str = "baseline", floor: str | None = None) -> DataFrame:
+    """(article_id, event): batches of (article_id) assigned one after the other, each against what is assigned by then.
+
+    This is the step of a stream: a batch reads the ledger of decisions, adds its
+    own, and never changes one. Articles that arrive in order of time get the
+    events that one run over all would give.
+    """
+    from kuatia.session import stage
+
+    ledger = None
+    for batch in batches:
+        part = batch.select("article_id") if ledger is None else batch.select("article_id").join(ledger.select("article_id"), "article_id", "left_anti")
+        here = part if ledger is None else part.unionByName(ledger.select("article_id"))
+        here = stage(here, "arrived")
+        pairs = scored
+        for side in ("target", "candidate"):
+            pairs = pairs.join(here.select(F.col("article_id").alias(side)), side, "left_semi")
+        fresh = assign(articles.join(here, "article_id", "left_semi"), pairs, mode, ledger, floor)
+        ledger = stage(fresh if ledger is None else ledger.unionByName(fresh), "ledger")
+    return ledger
+
+
+def affected(events: DataFrame, protected: DataFrame, gone: DataFrame) -> DataFrame:
+    """(event): the events of ``gone`` that nothing protects."""
+    return events.select("event").distinct().join(gone.select("event"), "event", "left_semi").join(protected.select("event"), "event", "left_anti")
+
+
+def replay(current: DataFrame, articles: DataFrame, scored: DataFrame, rebuilt: DataFrame, mode: str = "baseline") -> DataFrame:
+    """(article_id, event): the assignment with the events of ``rebuilt`` deleted and their articles assigned anew in order of time.
+
+    current: (article_id, event), rebuilt: (event). All other articles keep their
+    events, which take part. Each article comes out exactly once; a row that would
+    break this fails the job, so that a broken replay is never written.
+    """
+    from kuatia.operators.store import expect
+    from kuatia.session import stage
+
+    kept = stage(current.join(rebuilt.select("event"), "event", "left_anti").select("article_id", "event"), "kept")
+    again = current.join(rebuilt.select("event"), "event", "left_semi").select("article_id")
+    live = articles.join(current.select("article_id"), "article_id", "left_semi")
+    for side in ("target", "candidate"):
+        scored = scored.join(current.select(F.col("article_id").alias(side)), side, "left_semi")
+    fresh = assign(live, scored, mode, kept).join(again, "article_id", "left_semi")
+    # one that can't be compared (no vector, no time) founds its own event
+    fresh = again.join(fresh, "article_id", "left").select("article_id", F.coalesce("event", "article_id").alias("event"))
+    out = stage(kept.unionByName(fresh), "replayed")
+    counted = current.select("article_id", F.lit(1).alias("was"), F.lit(0).alias("is")).unionByName(out.select("article_id", F.lit(0).alias("was"), F.lit(1).alias("is"))).groupBy("article_id").agg(F.sum("was").alias("was"), F.sum("is").alias("is"))
+    if not expect(counted, "was = is", "a replay must keep every article once").where("was <> 1").isEmpty():
+        raise ValueError("an article had several events before the replay")
+    return out
+
+
 def centrality(members: DataFrame, event: str = "event_id", key: str = "article_id", vector: str = "v") -> DataFrame:
     """(event, key, centrality): mean cosine to the event's other members; 1.0 for one alone.
 
-    By the event's sum vector: (v . sum - v . v) / (n - 1); the sum is taken by
-    position, so no task needs an event's vectors at once.
+    By the event's sum vector: (v . sum - v . v) / (n - 1). Whole vectors are summed,
+    combined before the shuffle, so no task needs an event's vectors at once.
     """
-    sums = members.select(event, F.posexplode(vector).alias("i", "x")).groupBy(event, "i").agg(F.sum("x").alias("x")).groupBy(event).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("total"))
-    counts = members.groupBy(event).agg(F.count(F.lit(1)).alias("n"))
+    counts = members.groupBy(event).agg(Summarizer.sum(array_to_vector(F.col(vector).cast("array<double>"))).alias("s"), F.count(F.lit(1)).alias("n"))
+    counts = counts.select(event, vector_to_array("s").alias("total"), "n")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    joined = members.join(sums, event).join(counts, event)
+    joined = members.join(counts, event)
     value = F.when(F.col("n") == 1, 1.0).otherwise((dot(F.col(vector), F.col("total")) - dot(F.col(vector), F.col(vector))) / (F.col("n") - 1))
     return joined.select(event, key, value.alias("centrality"))
 
@@ -130,12 +215,6 @@ def minmax(column: str, by: str) -> Column:
     return F.when(F.abs(high - low) <= 1e-8 + 1e-5 * F.abs(high), 1.0).otherwise((F.col(column) - low) / (high - low))
 
 
-def source_scores(event: str, source: str) -> Column:
-    """1 over the number of the source's articles in the event, against the best such value there."""
-    count = F.count(F.lit(1)).over(Window.partitionBy(event, source))
-    return F.col("fewest") / count
-
-
 def representatives(scored: DataFrame) -> DataFrame:
     """The best article of each event by 0.50 centrality, 0.30 source, 0.20 completeness. scored: (event_id, article_id, source_id, centrality, completeness)."""
     per_source = scored.groupBy("event_id", "source_id").agg(F.count(F.lit(1)).alias("own"))

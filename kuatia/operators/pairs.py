@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,23 +25,29 @@ SCALES = {"similarity": 0.08, "entity_jaccard": 0.15, "shared_loc": 0.6, "shared
 INTERCEPT = 0.0
 
 
-def nearest_earlier(df: DataFrame, key: str, time: str, vector: str, hours: float = WINDOW_HOURS, floor: float = MIN_SIMILARITY, k: int = TOP_K) -> DataFrame:
+def nearest_earlier(df: DataFrame, key: str, time: str, vector: str, hours: float = WINDOW_HOURS, floor: float = MIN_SIMILARITY, k: int = TOP_K, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(target, candidate, similarity, rank): the k most similar rows strictly before each row by (time, key), within the window.
 
     Time is cut into spans of the window's width, so that a row's candidates lie in
     its own span or the one before: an equi-join by span. A span of many rows is
-    split into cells of at most CELL_ROWS targets by CELL_ROWS candidates; each
-    cell is one block product, and its k best a target merge by target.
+    split into cells of about CELL_ROWS targets by CELL_ROWS candidates, as many as
+    its own rows and those of the span before ask for, so that one hot span does
+    not multiply the rows of others; each cell is one block product, and its k best
+    a target merge by target.
     """
     width = int(hours * 3_600_000_000)
-    rows = df.select(F.col(key).cast("long").alias("k"), F.unix_micros(F.col(time).cast("timestamp")).alias("t"), F.col(vector).alias("v")).where("t is not null and v is not null").withColumn("span", F.floor(F.col("t") / width))
-    sizes = rows.groupBy("span").count().agg(F.max("count")).first()[0] or 0
-    parts = max(1, math.ceil(sizes / CELL_ROWS))
-    part = F.pmod(F.xxhash64("k"), F.lit(parts))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))
-    targets = rows.withColumn("tp", part).withColumn("cp", F.explode(every)).select("span", "tp", "cp", "k", "t", "v")
-    spans = F.array(F.col("span"), F.col("span") + 1)
-    candidates = rows.withColumn("cp", part).withColumn("tp", F.explode(every)).withColumn("span", F.explode(spans)).select(F.col("span").alias("s2"), F.col("tp").alias("t2"), F.col("cp").alias("c2"), F.col("k").alias("key2"), F.col("t").alias("time2"), F.col("v").alias("vector2"))
+    from kuatia.session import broadcast_if_small, stage
+
+    rows = stage(df.select(F.col(key).cast("long").alias("k"), F.unix_micros(F.col(time).cast("timestamp")).alias("t"), F.col(vector).alias("v")).where("t is not null and v is not null").withColumn("span", F.floor(F.col("t") / width)), "timed")
+    counts = rows.groupBy("span").agg(F.count(F.lit(1)).alias("n"))
+    reach = counts.select("span", "n", F.lit(0).cast("long").alias("before")).unionByName(counts.select((F.col("span") + 1).alias("span"), F.lit(0).cast("long").alias("n"), F.col("n").alias("before")))
+    cells = reach.groupBy("span").agg(F.sum("n").alias("n"), F.sum("before").alias("before")).where("n > 0")
+    cells = stage(cells.select(F.col("span").alias("of"), F.ceil(F.col("n") / cell_rows).alias("tps"), F.ceil((F.col("n") + F.col("before")) / cell_rows).alias("cps")), "cells")
+    cells = broadcast_if_small(cells, 100_000)  # three numbers a span
+    hashed = F.xxhash64("k")
+    targets = rows.join(cells, F.col("span") == F.col("of")).withColumn("tp", F.pmod(hashed, F.col("tps"))).withColumn("cp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cps") - 1))).select("span", "tp", "cp", "k", "t", "v")
+    spans = rows.withColumn("to", F.explode(F.array(F.col("span"), F.col("span") + 1))).join(cells, F.col("to") == F.col("of"))
+    candidates = spans.withColumn("cp", F.pmod(hashed, F.col("cps"))).withColumn("tp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tps") - 1))).select(F.col("to").alias("s2"), F.col("tp").alias("t2"), F.col("cp").alias("c2"), F.col("k").alias("key2"), F.col("t").alias("time2"), F.col("v").alias("vector2"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"target": [], "candidate": [], "similarity": []}
@@ -129,6 +134,11 @@ def weighted_jaccard(pairs: DataFrame, tokens: DataFrame, idf: DataFrame) -> Dat
     return shared.join(whole.select(F.col("k").alias("a"), F.col("w").alias("wa")), "a").join(whole.select(F.col("k").alias("b"), F.col("w").alias("wb")), "b").select("a", "b", "overlap", (F.col("overlap") / (F.col("wa") + F.col("wb") - F.col("overlap"))).alias("similarity"))
 
 
+def _sign(edges: DataFrame) -> tuple:
+    """The number of distinct edges with two sums of their hashes: equal signs, equal edges."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u", F.lit(7)).cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -> DataFrame:
     """(node, component): connected components, named by their smallest node.
 
@@ -139,6 +149,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -
 
     now = stage(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     nodes = stage(edges.select(F.explode(F.array(a, b)).alias("node")).where("node is not null").distinct(), "nodes")
+    before = _sign(now)
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -146,10 +157,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(down.select("u", F.col("m").alias("v")))
         after = stage(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-        same = after.exceptAll(now).isEmpty() and now.exceptAll(after).isEmpty()
-        now = after
-        if same:
+        sign = _sign(after)
+        if sign == before:
             break
+        now, before = after, sign
     else:
         raise RuntimeError(f"components have not converged in {rounds} rounds")
     return nodes.join(now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))

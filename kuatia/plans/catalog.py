@@ -1,6 +1,6 @@
 """All core queries and their SQL."""
 
-from kuatia.plans import events, relational, scalars, publication, flows  # noqa: F401  (they register their queries)
+from kuatia.plans import events, relational, scalars, publication, flows, curation, outlets  # noqa: F401  (they register their queries, in this order)
 from kuatia.plans.registry import QUERIES as _REGISTERED
 from kuatia.plans.registry import SQL as _SQL
 

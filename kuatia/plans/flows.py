@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kuatia.operators import matcher, pairs, store
-from kuatia.plans.events import event_articles, labelled, neighbours, pair_features
+from kuatia.operators import clustering, matcher, store
+from kuatia.plans.events import event_articles, labelled, pair_features, scored_pairs, timed_vectors
 from kuatia.plans.registry import SQL, query
 from kuatia.session import stage, table
 from kuatia.sources import feeds, html
@@ -102,12 +102,53 @@ def q_missing_sources(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def q_matcher_out_of_fold(spark: SparkSession, d: str) -> DataFrame:
     """Pairs scored by a matcher fitted without their fold; folds keep connected articles together."""
-    near = neighbours(spark, d, floor=0.3)
+    rows = matcher.group_folds(labelled_features(spark, d), folds=3)
+    return matcher.out_of_fold(stage(rows.drop("component"), "labelled"), "fold", 3).select("a", "b", "same", "fold", F.round("probability", 6).alias("probability"))
+
+
+def labelled_features(spark: SparkSession, d: str) -> DataFrame:
+    """(a, b, features, same): every scored pair once, with its label."""
     labels = labelled(spark, d).select("a", "b", "same")
     feats = pair_features(spark, d).select(F.least("target", "candidate").alias("a"), F.greatest("target", "candidate").alias("b"), *matcher.FEATURES)
-    comp = pairs.components(near.where("similarity >= 0.8").select(F.col("target").alias("a"), F.col("candidate").alias("b"))).withColumnRenamed("node", "a")
-    rows = feats.join(labels, ["a", "b"]).join(comp, "a", "left").withColumn("fold", F.pmod(F.xxhash64(F.coalesce("component", "a")), F.lit(3)))
-    return matcher.out_of_fold(stage(rows.drop("component"), "labelled"), "fold", 3).select("a", "b", "same", "fold", F.round("probability", 6).alias("probability"))
+    return stage(feats.join(labels, ["a", "b"]), "labelled-features")
+
+
+#: Pairs that the comparison of models fits on: a hash sample bounded by this.
+LABELLED_SAMPLE = 2000
+
+
+@query()
+def q_model_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """Models and feature sets over grouped folds, on a sample of at most LABELLED_SAMPLE labelled pairs drawn by a hash."""
+    rows = labelled_features(spark, d)
+    sample = stage(rows.orderBy(F.xxhash64("a", "b"), "a", "b").limit(LABELLED_SAMPLE), "labelled-sample")
+    return matcher.compared(matcher.group_folds(sample, folds=2), "fold", 2, models=matcher.zoo(trees=10), sets={k: matcher.FEATURE_SETS[k] for k in ("similarity", "all")})
+
+
+def _third(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Timed vectors, their scored pairs, and three batches of articles in order of time."""
+    rows = stage(timed_vectors(spark, d), "timed-vectors")
+    scored = stage(scored_pairs(spark, d).select("target", "candidate", "probability", "similarity"), "scored")
+    cuts = rows.agg(F.percentile_approx(F.unix_micros("time"), [0.4, 0.7])).first()[0] or [0, 0]
+    t = F.unix_micros("time")
+    return rows, scored, [rows.where(x).select("article_id") for x in (t < cuts[0], (t >= cuts[0]) & (t < cuts[1]), t >= cuts[1])]
+
+
+@query()
+def q_incremental_events(spark: SparkSession, d: str) -> DataFrame:
+    """The assignment in three batches, each against the ledger of those before it."""
+    rows, scored, batches = _third(spark, d)
+    return clustering.assign_in_batches(batches, rows, scored)
+
+
+@query()
+def q_replayed_events(spark: SparkSession, d: str) -> DataFrame:
+    """The assignment after a replay of the unprotected events that repaired dates touch; every third event is protected."""
+    rows, scored, _ = _third(spark, d)
+    current = stage(clustering.assign(rows, scored), "current")
+    touched = table(spark, d, "date_repair_audit").select("article_id").distinct().join(current, "article_id").select("event").distinct()
+    protected = current.where("event % 3 = 0").select("event").distinct()
+    return clustering.replay(current, rows, scored, stage(clustering.affected(current, protected, touched), "rebuilt"))
 
 
 @query("SELECT time_bucket(INTERVAL 6 HOUR, ts::TIMESTAMP, TIMESTAMP '1970-01-01') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")

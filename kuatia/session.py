@@ -56,9 +56,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session; a temporary one only where the session names none."""
+    """The shared folder named by the session; a temporary one only where the session names none and all runs on this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         found = "file://" + tempfile.mkdtemp(prefix="kuatia-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found

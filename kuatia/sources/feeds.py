@@ -7,7 +7,7 @@ import json
 import os
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -78,3 +78,33 @@ class _PagedReader(DataSourceReader):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(PagedJson)
+
+
+def latest_page(rows: DataFrame, fields: list[str], time: str, key: str, limit: int) -> DataFrame:
+    """The latest rows as a table service gives them: projected, in order of time (missing last), cut to a page."""
+    return rows.select(*dict.fromkeys([*fields, time, key])).orderBy(F.col(time).desc_nulls_last(), key).limit(limit).select(*fields)
+
+
+def pages_until(pages: DataFrame, category: str, page: str, urls: str, newest: str, start: str) -> DataFrame:
+    """The pages of each category before the first that ends it: an empty page, one that repeats an earlier page, or one whose newest date is before ``start``.
+
+    pages: one row a page; a page's addresses are few. A page without dates doesn't end its category.
+    """
+    held = F.coalesce(F.size(urls), F.lit(0))
+    digest = F.sha2(F.to_json(F.sort_array(urls)), 256)
+    first = F.min(page).over(Window.partitionBy(category, digest))
+    ends = (held <= 0) | ((held > 0) & (first < F.col(page))) | F.coalesce(F.col(newest) < F.lit(start).cast("date"), F.lit(False))
+    marked = pages.withColumn("_ends", ends)
+    stop = marked.where("_ends").groupBy(F.col(category).alias("_category")).agg(F.min(page).alias("_stop"))
+    return marked.join(stop, F.col(category).eqNullSafe(F.col("_category")), "left").where(F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))).drop("_ends", "_category", "_stop")
+
+
+CONTENT = "struct<content_elements:array<struct<canonical_url:string,headlines:struct<basic:string>,display_date:string>>>"
+
+
+def content_items(answers: DataFrame, text: str, query: str, offset: str, size: int) -> DataFrame:
+    """(query, offset, url, title, date): the items of a content service's answers, a query's pages in order up to the first of fewer than ``size`` items (that one included)."""
+    read = answers.select(query, offset, F.coalesce(F.from_json(text, CONTENT)["content_elements"], F.array()).alias("items"))
+    short = read.where(F.size("items") < size).groupBy(F.col(query).alias("_q")).agg(F.min(offset).alias("_last"))
+    kept = read.join(short, F.col(query).eqNullSafe(F.col("_q")), "left").where(F.col("_last").isNull() | (F.col(offset) <= F.col("_last")))
+    return kept.select(query, offset, F.explode("items").alias("i")).select(query, offset, F.col("i.canonical_url").alias("url"), F.col("i.headlines.basic").alias("title"), F.col("i.display_date").alias("date"))

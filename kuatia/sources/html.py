@@ -14,8 +14,11 @@ from pyspark.sql import types as T
 from kuatia.functions.urls import joined
 
 # Link texts that are no titles, and where pages state their publication time, in order of trust.
-GENERIC_TITLES = ["leer más", "leer mas", "ver más", "ver mas", "más", "mas", "seguir leyendo", "continuar leyendo", "read more", "ver nota", "nota completa", "compartir", "inicio", "home"]
-META_DATES = [("property", "article:published_time"), ("name", "article:published_time"), ("name", "pubdate"), ("name", "publishdate"), ("itemprop", "datePublished"), ("name", "date")]
+GENERIC_TITLES = [
+    "leer", "leer más", "leer mas", "leer más…", "leer mas…", "leer ⇾", "leer noticia", "leer noticia →", "seguir leyendo", "seguir leyendo →", "ver más", "ver mas", "más", "mas",
+    "read more", "continue reading", "previous", "next", "anterior", "siguiente", "older posts", "newer posts", "image",
+]
+META_DATES = [("property", "article:published_time"), ("name", "article:published_time"), ("property", "og:published_time"), ("name", "date"), ("name", "pubdate"), ("itemprop", "datePublished")]
 
 LINKS = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("href", T.StringType()), T.StructField("text", T.StringType())]))
 
