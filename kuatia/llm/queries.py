@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kuatia.llm import charforms, lines, mix, nearcopies, neighbours, split, survivors, tokens
+from kuatia.llm import charforms, lines, mix, nearcopies, neighbours, oracles, split, survivors, tokens
 from kuatia.session import table
 
 
@@ -12,6 +12,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return lines.found(table(spark, d, "event_context_articles"))
 
 
+def p1_blocks(spark: SparkSession, d: str) -> DataFrame:
+    return lines.blocks(table(spark, d, "event_context_articles"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return survivors.found(table(spark, d, "event_context_articles"), table(spark, d, "source_trust"))
 
@@ -58,5 +62,5 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split_texts(table(spark, d, "documents"), "doc_id", "text", split.profiles_of(table(spark, d, "split_limits")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p4_found, p5_found, p6_found, p6_members, p7_ids, p7_round_trip, p8_mix, p8_shares, p9_pieces)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p1_found, p1_blocks, p2_found, p4_found, p5_found, p6_found, p6_members, p7_ids, p7_round_trip, p8_mix, p8_shares, p9_pieces)}
+SQL: dict[str, str] = dict(oracles.SQL)
