@@ -64,11 +64,21 @@ class Cutter:
                     raw, n = b"", 0
                 inner[-1] = False
         else:
-            chars, tokens, inner = [len(w) for w in words], sizes, [False] * len(words)
+            chars, tokens, inner = list(map(len, words)), sizes, [False] * len(words)
         return np.concatenate(([0], np.cumsum(chars))), np.concatenate(([0], np.cumsum(tokens))), np.array([False, *inner])
 
-    def pieces(self, text: str, limit: int, overlap: int, atoms=None) -> list[tuple[int, int, int]]:
-        """(start, end, tokens) of each piece by character offsets; empty if the text is within the limit."""
+    def borders(self, text: str, at: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The atoms at which a natural boundary lies, and those at which a word begins or ends, both sorted."""
+        ends = np.array([m.end() for m in self.natural.finditer(text)], np.int64)
+        where = np.searchsorted(at, ends)
+        last = len(at) - 1
+        return where[(where <= last) & (at[np.minimum(where, last)] == ends) & (where > 0)], np.flatnonzero(~inner)
+
+    def pieces(self, text: str, limit: int, overlap: int, atoms=None, borders=None) -> list[tuple[int, int, int]]:
+        """(start, end, tokens) of each piece by character offsets; empty if the text is within the limit.
+
+        atoms and borders of the text are taken anew unless they are given.
+        """
         if overlap >= limit:
             raise ValueError("overlap_tokens must be less than max_tokens")
         if not text:
@@ -77,10 +87,7 @@ class Cutter:
         last = len(at) - 1
         if offset[last] <= limit:
             return []
-        ends = np.fromiter((m.end() for m in self.natural.finditer(text)), np.int64)
-        where = np.searchsorted(at, ends)
-        natural = where[(where <= last) & (at[np.minimum(where, last)] == ends) & (where > 0)]
-        whole = np.flatnonzero(~inner)
+        natural, whole = borders or self.borders(text, at, inner)
         out: list[tuple[int, int, int]] = []
         start, done = 0, 0  # atoms: where this piece starts, where the previous one ended
         while done < last:
@@ -158,8 +165,9 @@ def split_texts(df: DataFrame, key: str, text: str, profiles: list[tuple[str, in
                 if not x or len(x.encode()) <= min((p[1] for p in profiles), default=0):
                     continue  # a token has at least one byte
                 atoms = cutter.atoms(x)
+                borders = cutter.borders(x, atoms[0], atoms[2])
                 for profile, limit, overlap in profiles:
-                    for k, (a, b, n) in enumerate(cutter.pieces(x, limit, overlap, atoms), 1):
+                    for k, (a, b, n) in enumerate(cutter.pieces(x, limit, overlap, atoms, borders), 1):
                         for column, value in zip(rows, (profile, i, k, a, b, n, x[a:b])):
                             column.append(value)
                         held += b - a

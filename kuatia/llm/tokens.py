@@ -66,12 +66,12 @@ class Sizes:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        out = []
-        for w in words:
-            n = known.get(w)
-            if n is None:
-                n = known[w] = len(self.encode(w))
-            out.append(n)
+        out = list(map(known.get, words))
+        if None in out:
+            for i, n in enumerate(out):
+                if n is None:
+                    w = words[i]
+                    out[i] = known[w] = len(self.encode(w))
         return out
 
 
