@@ -50,13 +50,13 @@ PIVOTS = 65_536
 #: Pivots of a region.
 REGION_PIVOTS = 32
 #: Arrays in which a row has an entry, and the windows it must share with a query.
-ARRAYS = 16
+ARRAYS = 20
 COLLISIONS = 2
 #: Regions in which a row looks for its nearest pivots: a share of all, between two bounds.
 NEAR = (8, 32)
 NEAR_SHARE = 0.125
 #: Radii searched by level, against the distance of the query's nearest pivot; the last is the whole array.
-LEVELS = (1.0, 64.0)
+LEVELS = (1.0, float("inf"))
 #: Half width of a window against its level's radius: projections of rows at a distance differ by less.
 WIDTH = 0.5
 BLOCK_ROWS = 65_536
@@ -154,8 +154,9 @@ class Index:
     def search(self, ids: np.ndarray, q: np.ndarray, owner: np.ndarray, pivot: np.ndarray, value: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, row id, cosine) of up to k verified rows of each query, best first. owner: the query of each entry, ascending."""
         light = q.astype(np.float32)
-        radius = np.full(len(ids), 2.0)
-        np.minimum.at(radius, owner, np.sqrt(np.maximum(2 - 2 * value.astype(np.float64), 1e-6)))
+        radius, away = np.full(len(ids), 2.0), 2 - 2 * value.astype(np.float64)
+        other = away > 1e-6  # a query may be a pivot itself
+        np.minimum.at(radius, owner[other], np.sqrt(away[other]))
         known = pivot < len(self.begin) - 1
         owner, pivot, value = owner[known], pivot[known].astype(np.int64), value[known].astype(np.float64)
         found: list[tuple] = []
