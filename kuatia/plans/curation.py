@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kuatia.functions import records, text
-from kuatia.operators import batches, labels, metrics, pairs
-from kuatia.operators.views import MODEL, articles, event_articles, with_
-from kuatia.plans.events import _LABELLED, _NEAR, _TIMED, _sql, event_of, labelled, neighbours, timed_vectors
+from kuatia.operators import batches, clustering, labels, metrics, pairs
+from kuatia.operators.views import MODEL, articles, event_articles, vectors, with_
+from kuatia.plans.events import _BLOCK, _CENTRAL, _LABELLED, _NEAR, _TIMED, _TOKENS, FLOOR, _sql, event_of, labelled, neighbours, timed_vectors, titled
 from kuatia.plans.registry import query
+from kuatia.plans.relational import EFFECTIVE_SQL, effective_positions
 from kuatia.session import stage, table
 from kuatia.sources import feeds
 
@@ -284,3 +285,51 @@ def q_nations_without_rich_supplier(spark: SparkSession, d: str) -> DataFrame:
     rich = table(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("n_nationkey"))
     nations = table(spark, d, "nation").join(rich, "n_nationkey", "left_anti")
     return nations.join(table(spark, d, "customer"), F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("name")).agg(F.count(F.lit(1)).alias("customers"))
+
+
+# Fixed value: titles that a blocking token may be in.
+BLOCK_TITLES = 120
+# the SQL of the older queries keeps a lower bound
+_BLOCK_WHOLE = _BLOCK.replace("BETWEEN 2 AND 40", f"BETWEEN 2 AND {BLOCK_TITLES}")
+
+
+@query(_sql(_TOKENS, _BLOCK_WHOLE) + "SELECT x.k AS a, y.k AS b, count(*) AS shared FROM kept x JOIN kept y ON x.token = y.token AND x.k < y.k GROUP BY 1, 2 HAVING count(*) >= 2")
+def q_title_block_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of titles that share two tokens of from 2 to 120 titles."""
+    return pairs.block_pairs(titled(spark, d), "k", "tokens", most=BLOCK_TITLES).where("shared >= 2")
+
+
+@query(
+    _sql(_TOKENS, _BLOCK_WHOLE)
+    + """, cand AS (SELECT x.k AS a, y.k AS b FROM kept x JOIN kept y ON x.token = y.token AND x.k < y.k GROUP BY 1, 2 HAVING count(*) >= 2),
+    idf AS (SELECT token, ln(((SELECT count(*) FROM tok) + 1) / (count(*) + 1)::DOUBLE) + 1 AS idf FROM post GROUP BY 1), w AS (SELECT k, sum(idf) AS w FROM post JOIN idf USING (token) GROUP BY 1),
+    s AS (SELECT a, b, sum(idf) AS o FROM cand JOIN post p ON p.k = a JOIN post q ON q.k = b AND q.token = p.token JOIN idf ON idf.token = p.token GROUP BY 1, 2)
+    SELECT a, b, round(o, 5) AS overlap, round(o / (wa.w + wb.w - o), 5) AS similarity FROM s JOIN w wa ON wa.k = a JOIN w wb ON wb.k = b"""
+)
+def q_title_similarity(spark: SparkSession, d: str) -> DataFrame:
+    """The weighted similarity of those pairs' titles."""
+    rows = stage(titled(spark, d), "titles")
+    idf = pairs.inverse_frequency(rows, "k", "tokens").select("token", "idf")
+    found = pairs.block_pairs(rows, "k", "tokens", most=BLOCK_TITLES).where("shared >= 2").select("a", "b")
+    out = pairs.weighted_jaccard(found, rows.select("k", F.explode("tokens").alias("token")), idf)
+    return out.select("a", "b", F.round("overlap", 5).alias("overlap"), F.round("similarity", 5).alias("similarity"))
+
+
+@query(f"SELECT article_id, event_id, {EFFECTIVE_SQL} AS effective_time, row_number() OVER (ORDER BY {EFFECTIVE_SQL}, article_id, event_id) AS n FROM (SELECT event_id, article_id, max(published_at) AS published_at, min(scraped_at) AS scraped_at FROM event_context_articles GROUP BY ALL)")
+def q_effective_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Every membership with its position by effective time."""
+    return effective_positions(spark, d).select("article_id", "event_id", "effective_time", "n")
+
+
+SECOND_MODEL = "tero-mini-v0"
+
+
+@query((_sql(_TIMED, _NEAR) + "SELECT target, candidate, round(similarity, 6) AS similarity, rank FROM near").replace(MODEL, SECOND_MODEL))
+def q_nearest_in_window_second_model(spark: SparkSession, d: str) -> DataFrame:
+    near = pairs.nearest_earlier(timed_vectors(spark, d, SECOND_MODEL), "article_id", "time", "v", 48, FLOOR)
+    return near.select("target", "candidate", F.round("similarity", 6).alias("similarity"), F.col("rank").cast("long").alias("rank"))
+
+
+@query((_sql(_CENTRAL) + "SELECT event_id, article_id, round(centrality, 6) AS centrality FROM central").replace(MODEL, SECOND_MODEL))
+def q_centrality_second_model(spark: SparkSession, d: str) -> DataFrame:
+    return clustering.centrality(event_articles(spark, d).join(vectors(spark, d, SECOND_MODEL), "article_id")).withColumn("centrality", F.round("centrality", 6))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kuatia.functions import text
 from kuatia.operators import clustering, metrics, pairs
-from kuatia.operators.views import articles, event_articles, vectors, with_
+from kuatia.operators.views import MODEL, articles, event_articles, vectors, with_
 from kuatia.plans.registry import query
 from kuatia.plans.scalars import ENTITIES_SQL, TOKENS_SQL
 from kuatia.session import stage, table
@@ -15,9 +15,9 @@ from kuatia.session import stage, table
 FLOOR = 0.45
 
 
-def timed_vectors(spark: SparkSession, d: str) -> DataFrame:
+def timed_vectors(spark: SparkSession, d: str, model: str = MODEL) -> DataFrame:
     times = table(spark, d, "event_context_articles").groupBy("article_id").agg(F.min("scraped_at").alias("time"))
-    return vectors(spark, d).join(times, "article_id")
+    return vectors(spark, d, model).join(times, "article_id")
 
 
 def neighbours(spark: SparkSession, d: str, hours: float = 48, floor: float = FLOOR) -> DataFrame:

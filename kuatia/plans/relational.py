@@ -112,7 +112,12 @@ def q_local_days(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT article_id, {EFFECTIVE_SQL} AS effective_time, row_number() OVER (ORDER BY {EFFECTIVE_SQL}, article_id, event_id) AS n FROM (SELECT event_id, article_id, max(published_at) AS published_at, min(scraped_at) AS scraped_at FROM event_context_articles GROUP BY ALL) QUALIFY n <= 500")
 def q_effective_order(spark: SparkSession, d: str) -> DataFrame:
-    """Every membership with its position by effective time, id breaking ties.
+    """Every membership with its position by effective time, id breaking ties."""
+    return effective_positions(spark, d).select("article_id", "effective_time", "n")
+
+
+def effective_positions(spark: SparkSession, d: str) -> DataFrame:
+    """(article_id, event_id, effective_time, n) of every membership.
 
     Positions come from a range-partitioned sort: a row's place in its partition
     after the rows of the partitions before it, so no task holds all rows.
@@ -125,7 +130,7 @@ def q_effective_order(spark: SparkSession, d: str) -> DataFrame:
     counts = ordered.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))  # one row a partition
     before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     place = F.col("_before") + F.col("_id") - F.shiftleft("_part", 33) + 1
-    return ordered.withColumn("_part", F.shiftright("_id", 33)).join(F.broadcast(before), "_part").select("article_id", "effective_time", place.alias("n"))
+    return ordered.withColumn("_part", F.shiftright("_id", 33)).join(F.broadcast(before), "_part").select("article_id", "event_id", "effective_time", place.alias("n"))
 
 
 @query("SELECT e.event_id, e.ts, p.event_id AS before_id, p.ts AS before_ts FROM (SELECT *, lag(event_id) OVER w AS pid FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) e LEFT JOIN events p ON p.event_id = e.pid")
