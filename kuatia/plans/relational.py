@@ -14,8 +14,17 @@ CUTOFF = "2025-07-01"
 
 
 def effective_time(published: str = "published_at", scraped: str = "scraped_at"):
-    """The published time where it is written with its offset, else the time of scraping."""
-    iso = F.when(F.col(published).rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}[+-]\d{2}:\d{2}$"), F.try_to_timestamp(published, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
+    """The published time where it is written with its offset, else the time of scraping.
+
+    As in the SQL, any two digits are an offset's hours or minutes (Spark's own stop
+    at 18:00 and at 59), and 24:00:00 is the end of its day.
+    """
+    text = F.col(published)
+    late = F.substring(text, 12, 8) == "24:00:00"
+    clock = F.try_to_timestamp(F.concat(F.substring(text, 1, 11), F.when(late, "00:00:00").otherwise(F.substring(text, 12, 8)), F.lit("+00:00")), F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
+    offset = F.substring(text, 21, 2).try_cast("long") * 60 + F.substring(text, 24, 2).try_cast("long")
+    minutes = F.when(F.substring(text, 20, 1) == "-", offset).otherwise(-offset) + F.when(late, 1440).otherwise(0)
+    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}[+-]\d{2}:\d{2}\z"), F.timestamp_micros(F.unix_micros(clock) + minutes * 60_000_000))
     return F.coalesce(iso, F.col(scraped))
 
 
@@ -123,7 +132,7 @@ def effective_positions(spark: SparkSession, d: str) -> DataFrame:
     after the rows of the partitions before it, so no task holds all rows.
     """
     rows = table(spark, d, "event_context_articles").groupBy("event_id", "article_id").agg(F.max("published_at").alias("published_at"), F.min("scraped_at").alias("scraped_at"))
-    order = [F.col("effective_time").asc_nulls_last(), "article_id", "event_id"]
+    order = [F.col(c).asc_nulls_last() for c in ("effective_time", "article_id", "event_id")]
     timed = rows.select("event_id", "article_id", effective_time().alias("effective_time"))
     ordered = stage(timed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "effective-order")
     part = F.shiftright("_id", 33).alias("_part")

@@ -4,6 +4,7 @@ import datetime
 import math
 import random
 
+import duckdb
 import pytest
 
 from kuatia.operators import pairs
@@ -54,6 +55,25 @@ def test_effective_order_numbers_every_membership(spark, tmp_path):
     assert got == {n: a for n, (_, a) in enumerate(want, 1)}
 
 
+def test_effective_order_of_null_ids_and_odd_times(spark, tmp_path):
+    day = datetime.datetime(2024, 3, 5, 12, tzinfo=datetime.UTC)
+    zones = [f"{s}{h:02d}:{m:02d}" for s in "+-" for h in (0, 3, 18, 19, 99) for m in (0, 1, 59, 60, 99)]
+    texts = [f"2024-03-0{i % 4 + 1}T00:00:00{z}" for i, z in enumerate(zones)]
+    texts += [f"{t}-03:00" for t in ("2024-02-29T24:00:00", "2023-12-31T24:00:00", "2023-02-29T24:00:00", "2024-03-05T24:00:01", "2024-03-05T23:59:60", "2024-13-01T00:00:00", "9999-12-31T24:00:00")]
+    texts += ["2024-03-05T24:00:00+99:99", "0000-02-29T00:00:00+00:00", "2024-03-05T01:00:00+00:00\n", "2024-03-05T01:00:00Z", ""]
+    rows = [(i % 7, i, t, day - datetime.timedelta(days=i)) for i, t in enumerate(texts)]
+    rows += [(e, a, None, day) for e in (None, -1, 8) for a in (8, None, -1)] + [(e, a, None, None) for e in (20, None) for a in (20, None, 21) if e or a]
+    d = write(spark, tmp_path, "event_context_articles", rows, "event_id long, article_id long, published_at string, scraped_at timestamp")
+    con = duckdb.connect()
+    con.execute("SET timezone = 'UTC'")
+    con.execute(f"CREATE VIEW event_context_articles AS SELECT * FROM '{d}/event_context_articles.parquet/*.parquet'")
+    for name, ids in (("q_effective_order", "article_id"), ("q_effective_positions", "article_id, event_id")):
+        want = con.sql(f"SELECT n, epoch_us(effective_time), {ids} FROM ({catalog.SQL[name]}) ORDER BY n").fetchall()
+        got = catalog.QUERIES[name](spark, d).selectExpr("n", "unix_micros(effective_time)", *ids.split(", ")).collect()
+        assert len(want) == len(rows) < 500  # the bound of q_effective_order's SQL
+        assert sorted(map(tuple, got)) == want
+
+
 @pytest.mark.parametrize("encoding,last", [("cp1252", "ñandú “x” €5"), ("latin1", "ñandú \x81"), ("utf-8", "ñandú “x” €5"), ("utf-8-sig", "ñandú")])
 def test_csv_with_late_accents(spark, tmp_path, encoding, last):
     path = tmp_path / "x.csv"
